@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op09_language_id
+from . import op07_simhash_dedup, op09_language_id
 from .common import table
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op07_simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op09_language_id.identify_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op9_language_id": op9_language_id,
 }
 
