@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op07_simhash_dedup, op09_language_id
+from . import op05_packing, op07_simhash_dedup, op09_language_id
 from .common import table
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return op05_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -17,6 +23,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_packing": op5_packing,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op9_language_id": op9_language_id,
 }
