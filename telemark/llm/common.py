@@ -70,11 +70,6 @@ def in_fold(key: Column, folds: int, held: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % folds == held, F.lit(False))
 
 
-def text_key(text: Column) -> Column:
-    """Tells rows with one doc_id apart; equal rows share it and get equal results."""
-    return F.xxhash64(text)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

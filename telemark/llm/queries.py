@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op05_packing, op07_simhash_dedup, op09_language_id
+from . import op02_substring_dedup, op05_packing, op07_simhash_dedup, op09_language_id
 from .common import table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op02_substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -23,6 +27,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op5_packing": op5_packing,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op9_language_id": op9_language_id,
