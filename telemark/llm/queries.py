@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op02_substring_dedup, op05_packing, op07_simhash_dedup, op09_language_id
+from . import op02_substring_dedup, op05_packing, op07_simhash_dedup, op09_language_id, op10_quality
 from .common import table
 
 
@@ -26,11 +26,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op09_language_id.identify_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op5_packing": op5_packing,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op9_language_id": op9_language_id,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {}
