@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op02_substring_dedup, op05_packing, op07_simhash_dedup, op09_language_id, op10_quality
+from . import op01_pii, op02_substring_dedup, op05_packing, op07_simhash_dedup, op09_language_id, op10_quality
 from .common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01_pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -31,6 +35,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_packing": op5_packing,
     "op7_simhash_dedup": op7_simhash_dedup,
