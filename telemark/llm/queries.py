@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_pii, op02_substring_dedup, op05_packing, op07_simhash_dedup, op09_language_id, op10_quality
+from . import op01_pii, op02_substring_dedup, op05_packing, op07_simhash_dedup, op08_fingerprints, op09_language_id, op10_quality
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op08_fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op09_language_id.identify_documents(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op5_packing": op5_packing,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_fingerprints": op8_fingerprints,
     "op9_language_id": op9_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
