@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_pii, op02_substring_dedup, op05_packing, op07_simhash_dedup, op08_fingerprints, op09_language_id, op10_quality
+from . import op01_pii, op02_substring_dedup, op04_ann, op05_packing, op07_simhash_dedup, op08_fingerprints, op09_language_id, op10_quality
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op04_ann.nearest_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,6 +45,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_packing": op5_packing,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_fingerprints": op8_fingerprints,
