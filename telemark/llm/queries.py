@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op01_pii, op02_substring_dedup, op04_ann, op05_packing, op07_simhash_dedup, op08_fingerprints, op09_language_id, op10_quality
+from . import op01_pii, op02_substring_dedup, op03_licenses, op04_ann, op05_packing, op06_sentencepiece, op07_simhash_dedup, op08_fingerprints, op09_language_id, op10_quality
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op03_licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op04_ann.nearest_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -26,6 +30,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op05_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return op06_sentencepiece.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,8 +55,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_licenses": op3_licenses,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_packing": op5_packing,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_fingerprints": op8_fingerprints,
     "op9_language_id": op9_language_id,
