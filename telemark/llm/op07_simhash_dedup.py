@@ -79,10 +79,12 @@ def _fingerprint(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), found], names=[*(batch.schema.names[i] for i in kept), "fp"])
 
 
-def fingerprint(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of each row."""
+def fingerprint(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep`` and fp (the 64 bits as a long) of each row."""
     prepare(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(partial(_fingerprint, text=1), "doc_id long, fp long")
+    source = docs.select(*keep, "text")
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
+    return source.mapInArrow(partial(_fingerprint, text=len(keep)), fields + "fp long")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -239,14 +241,16 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def groups(prints: DataFrame) -> DataFrame:
-    """doc_id and fp rows to (fp, component_id), a row for each distinct fp."""
+    """doc_id and fp rows to (fp, root, component_id), a row for each distinct fp; root is one fp of the group."""
     own = stage_table(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     root = components(near_links(own.select("fp")))
     member = root.select(F.col("node").alias("fp"), "root").union(root.select("root", "root").distinct())
     named = member.join(own, "fp")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = named.join(least, "root").select("fp", "component_id")
-    return own.join(found.withColumnRenamed("component_id", "joined"), "fp", "left").select("fp", F.coalesce("joined", "least").alias("component_id"))
+    found = named.join(least, "root").select("fp", "root", "component_id")
+    all_groups = own.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    # Written before it is joined: then both sides of that join are plain exchanges, whose hot partitions adaptive execution splits.
+    return stage_table(all_groups, "groups")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
