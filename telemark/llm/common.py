@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 #: Rows in an Arrow batch. Whole texts travel in them, so the default of 10,000 would be large.
 ARROW_ROWS = 512
 #: Bytes of text worked on at a time; a longer single text still forms one block.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _own_scratch: str | None = None
 
@@ -70,6 +70,11 @@ def in_fold(key: Column, folds: int, held: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % folds == held, F.lit(False))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with k1, k2: equal for equal (doc_id, text) only, never null."""
+    return docs.withColumn("k1", F.coalesce(F.col("doc_id"), F.lit(0))).withColumn("k2", F.xxhash64("text", F.col("doc_id").isNull()))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

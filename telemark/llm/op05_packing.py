@@ -21,9 +21,12 @@ ids: each row is a document of its own. Empty table: no rows. Extra columns are
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import accumulate, chain, compress, pairwise
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +37,9 @@ from pyspark.sql import functions as F
 from .common import prepare, stage_table, text_blocks
 
 CAPACITY, END = 4096, 1
-CACHED_WORDS = 300_000
-_TAIL = ".,;:!?"
+CACHED_WORDS, CACHED_PARTS = 900_000, 1_200_000
+#: Marks that may follow a word; an apostrophe may start a contraction and isn't among them.
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class CapacityTree:
@@ -110,38 +114,68 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.plain, self.ends = None, None
+        rules = json.loads(vocabulary)
+        suffix = rules["model"].get("end_of_word_suffix")
+        if suffix:  # lower-case Latin letters need no normalising, and ids with the suffix tell words apart
+            rules["normalizer"] = None
+            rules["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+            self.plain = Tokenizer.from_str(json.dumps(rules))
+            ids = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(ids.values()) + 1, dtype=bool)
+            self.ends[[i for token, i in ids.items() if token.endswith(suffix)]] = True
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _learn(self, unknown: set[bytes]) -> None:
-        if len(self.parts) > CACHED_WORDS:
+        """Letters and the marks of punctuation after them are encoded apart; other words as they are."""
+        if len(self.parts) > CACHED_PARTS:
             self.parts.clear()
-        plans = []
-        for word in unknown:
-            text = word.decode()
-            core = text.rstrip(_TAIL)
-            if core.isalpha():  # letters and marks of punctuation are encoded apart
-                parts = (core.lower() if core.isascii() else core, text[len(core) :])
-                plans.append((word, parts if parts[1] else parts[:1]))
-            else:
-                plans.append((word, (text,)))
-        new = list({p for _, parts in plans for p in parts} - self.parts.keys())
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        parts, listed = self.parts, list(unknown)
+        texts = b"\n".join(listed).decode().split("\n")
+        cores = [t.rstrip(_TAIL) for t in texts]
+        simple = [c.isalpha() and (c.isascii() or max(c) <= "\xff") for c in cores]
+        lower = "\n".join(compress(cores, simple)).lower().split("\n") if any(simple) else []
+        tails = [t[len(c) :] for t, c in zip(compress(texts, simple), compress(cores, simple), strict=True)]
+        self._encode_any(list(set(tails).difference(parts)))
+        self._encode_letters(list(set(lower).difference(parts)))
+        get = parts.__getitem__
+        self.words.update(zip(compress(listed, simple), map(add, map(get, lower), map(get, tails)), strict=True))
+        others = [t for t, plain in zip(texts, simple, strict=True) if not plain]
+        for text, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.words[text.encode()] = np.array(found.ids, dtype="<u4").tobytes()
+
+    def _encode_any(self, listed: list[str]) -> None:
+        for part, found in zip(listed, self.tokenizer.encode_batch_fast(listed, add_special_tokens=False), strict=True):
             self.parts[part] = np.array(found.ids, dtype="<u4").tobytes()
-        for word, parts in plans:
-            self.words[word] = b"".join([self.parts[p] for p in parts])
+
+    def _encode_letters(self, listed: list[str]) -> None:
+        """Words of lower-case Latin letters, in one go: each ends with the only id that has the suffix."""
+        if not listed or self.plain is None:
+            return self._encode_any(listed)
+        ids = np.array(self.plain.encode_batch_fast([" ".join(listed)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+        if len(cuts) != len(listed) + 1:
+            return self._encode_any(listed)
+        raw = ids.tobytes()
+        self.parts.update(zip(listed, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        return None
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        needed = set().union(*split)
-        unknown = needed - self.words.keys()
-        if len(self.words) + len(unknown) > CACHED_WORDS:
-            self.words.clear()
-            unknown = needed
-        if unknown:
+        words = list(chain.from_iterable(split))
+        ids = list(map(self.words.get, words))
+        gaps = [i for i, found in enumerate(ids) if found is None]
+        if gaps:
+            unknown = {words[i] for i in gaps}
+            if len(self.words) + len(unknown) > CACHED_WORDS:
+                self.words.clear()
             self._learn(unknown)
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+            found = self.words
+            for i in gaps:
+                ids[i] = found[words[i]]
+        ends = list(accumulate(map(len, split), initial=0))
+        return [b"".join(ids[a:b]) for a, b in pairwise(ends)]
 
 
 _encoders: dict[int, WordEncoder] = {}
