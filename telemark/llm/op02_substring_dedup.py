@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TextBlock, mix, powers, prepare, sliding_min, span_hashes, stage_table, text_blocks, word_hashes, word_spans
+from .common import TextBlock, keyed, mix, powers, prepare, sliding_min, span_hashes, stage_table, text_blocks, word_hashes, word_spans
 
 WINDOW, ANCHOR = 35, 8
 #: Words handled at once; positions take 24 bits beside 40 bits of hash.
@@ -120,14 +120,14 @@ def kept_words(words: list[bytes], hits: np.ndarray) -> tuple[list[bytes], int]:
     return [words[i] for i in np.flatnonzero(~gone).tolist()], int(gone.sum())
 
 
-def _remove(batches: Iterator[pa.RecordBatch], keep: int, with_text: bool) -> Iterator[pa.RecordBatch]:
-    """keep columns, text, hits -> keep columns, n_words, n_removed, kept_sha256[, kept]."""
+def _remove(batches: Iterator[pa.RecordBatch], keep: int, at: int, with_text: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of ``keep`` columns to pass on and, last, hits to those columns and n_words, n_removed, kept_sha256[, kept]; the text is column ``at``."""
     for batch in batches:
-        hits = batch.column(keep + 1)
+        hits = batch.column(batch.num_columns - 1)
         size = hits.value_lengths().fill_null(0).to_numpy()
         bounds, flat = np.concatenate([[0], np.cumsum(size)]), hits.flatten().to_numpy()
         n, gone, sha, kept = [], [], [], []
-        for block in text_blocks(batch.column(keep)):
+        for block in text_blocks(batch.column(at)):
             for i in range(block.rows):
                 words, removed = block.text(i).split(), 0
                 n.append(len(words))
@@ -143,28 +143,25 @@ def _remove(batches: Iterator[pa.RecordBatch], keep: int, with_text: bool) -> It
         yield pa.RecordBatch.from_arrays([*batch.columns[:keep], *out, *([pa.array(kept, pa.binary()).cast(pa.string())] * with_text)], names=[*names, *["kept"] * with_text])
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with k1, k2: equal for equal (doc_id, text) only."""
-    return docs.withColumn("k1", F.coalesce(F.col("doc_id"), F.lit(0))).withColumn("k2", F.xxhash64("text", F.col("doc_id").isNull()))
-
-
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(k1, k2, hits): the repeated windows of each text that has any."""
     source = keyed(docs.select("doc_id", "text")).select("k1", "k2", "text")
     found = stage_table(source.mapInArrow(_find_paths, "k1 long, k2 long, p int, n int, anchor long, path long"), "paths")
     anchors = found.groupBy("anchor").agg(F.count("*").alias("c"), F.min("path").alias("low"), F.max("path").alias("high"))
-    again = anchors.filter("c > 1").select("anchor", (F.col("low") != F.col("high")).alias("branches"))
+    # Aggregates are written before they are joined: then both sides of a join are plain exchanges, whose hot partitions adaptive execution splits.
+    again = stage_table(anchors.filter("c > 1").select("anchor", (F.col("low") != F.col("high")).alias("branches")), "anchors")
     matched = stage_table(found.join(again, "anchor"), "matched")
 
     branching = matched.filter("branches")
     forms = stage_table(branching.groupBy("anchor", "path").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "p", "n")).alias("at")), "forms")
     sources = forms.groupBy(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2")).agg(F.collect_list(F.struct("at.p", "at.n", "anchor", "path")).alias("paths"))
     opened = stage_table(source.join(sources, ["k1", "k2"]).select("text", "paths").mapInArrow(_open_windows, "anchor long, path long, place int, window long"), "windows")
-    twice = opened.groupBy("anchor", "window").count().filter("count > 1").select("anchor", "window")
+    twice = stage_table(opened.groupBy("anchor", "window").count().filter("count > 1").select("anchor", "window"), "repeated")
     bit = F.expr("shiftleft(1L, place)")
     masks = opened.join(twice, ["anchor", "window"]).groupBy("anchor", "path").agg(F.bit_or(bit).alias("mask"))
     whole = F.expr("shiftleft(1L, n) - 1")
     judged = forms.filter("c > 1").select("anchor", "path", F.lit(None).cast("long").alias("mask")).union(masks.join(forms.filter("c = 1").select("anchor", "path"), ["anchor", "path"]))
+    judged = stage_table(judged, "judged")
     hits = matched.filter("NOT branches").select("k1", "k2", "p", whole.alias("mask")).union(
         branching.join(judged, ["anchor", "path"]).select("k1", "k2", "p", F.coalesce("mask", whole))
     )
@@ -175,6 +172,6 @@ def remove_repeats(docs: DataFrame, keep: list[str], with_text: bool = False) ->
     """Columns ``keep`` with n_words, n_removed, kept_sha256 and, if asked for, the kept text."""
     prepare(docs.sparkSession)
     hits = stage_table(repeated_windows(docs), "hits")
-    joined = keyed(docs.select(*dict.fromkeys([*keep, "doc_id", "text"]))).join(hits, ["k1", "k2"], "left").select(*keep, "text", "hits")
+    joined = keyed(docs.select(*dict.fromkeys([*keep, "doc_id", "text"]))).join(hits, ["k1", "k2"], "left").select(*dict.fromkeys([*keep, "text"]), "hits")
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in joined.schema.fields[: len(keep)])
-    return joined.mapInArrow(partial(_remove, keep=len(keep), with_text=with_text), fields + "n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
+    return joined.mapInArrow(partial(_remove, keep=len(keep), at=joined.columns.index("text"), with_text=with_text), fields + "n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
