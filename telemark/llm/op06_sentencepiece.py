@@ -120,7 +120,7 @@ class Codec:
 
     def _units(self, normal: str) -> bytes:
         units, cache = self.unit.findall(normal), self.cache
-        new = set(units) - cache.keys()
+        new = set(units).difference(cache)
         if new:
             if len(cache) + len(new) > CACHED_UNITS:
                 cache.clear()
