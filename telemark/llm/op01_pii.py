@@ -20,14 +20,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, stage_table, text_blocks
-from .op02_substring_dedup import keyed
+from .common import keyed, prepare, stage_table, text_blocks
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, SUPPORT, ACCEPT = 3, 5, 0.85
@@ -183,17 +183,29 @@ def personal_data(docs: DataFrame) -> DataFrame:
     return find(docs).select("doc_id", *counts, F.sha2(F.expr(spelled("base")), 256).alias("base_sha256"), F.expr(spelled("spans")).alias("spans"))
 
 
-def _redact(texts, spans):
+def redacted(text: str, spans: list[dict]) -> str:
     """Each span becomes its kind in brackets; overlapping spans become one, named after the first."""
-    out = []
-    for text, own in zip(texts, spans, strict=True):
-        if text is None or own is None or len(own) == 0:
-            out.append(text)
-            continue
-        parts, done = [], 0
-        for s in own:
-            if s["start"] >= done:
-                parts += [text[done : s["start"]], f"[{KINDS[s['kind']].upper()}]"]
-            done = max(done, s["end"])
-        out.append("".join([*parts, text[done:]]))
-    return out
+    parts, done = [], 0
+    for s in spans:
+        if s["start"] >= done:
+            parts += [text[done : s["start"]], f"[{KINDS[s['kind']].upper()}]"]
+        done = max(done, s["end"])
+    return "".join([*parts, text[done:]])
+
+
+def _redact(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Rows with the text in column ``at`` and, last, its spans (null: none) to those columns and the redacted text."""
+    for batch in batches:
+        new = batch.column(at).to_pylist()
+        spans = batch.column(batch.num_columns - 1)
+        for i in np.flatnonzero(spans.value_lengths().fill_null(0).to_numpy()).tolist():
+            new[i] = redacted(new[i], spans[i].as_py())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(new, pa.string())], names=[*batch.schema.names[:-1], "redacted"])
+
+
+def redact(marked: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns ``keep``, the text among them, and ``redacted``, from rows that also have spans."""
+    prepare(marked.sparkSession)
+    source = marked.select(*keep, "spans")
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
+    return source.mapInArrow(partial(_redact, at=keep.index("text")), fields + "redacted string")

@@ -131,9 +131,10 @@ def code_lengths(column: pa.Array, trees: Broadcast | Trees, window: int = 1 <<
     return bits, size
 
 
-def _identify(batches: Iterator[pa.RecordBatch], trees: Broadcast, keep: int) -> Iterator[pa.RecordBatch]:
+def _identify(batches: Iterator[pa.RecordBatch], trees: Broadcast, keep: int, at: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``keep`` columns to pass on and, last, whether there is a letter; the text is column ``at``."""
     for batch in batches:
-        text, letters = batch.column(keep), batch.column(keep + 1).to_numpy(zero_copy_only=False).astype(bool)
+        text, letters = batch.column(at), batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
         bits, size = code_lengths(text, trees)
         names = trees.value.languages
         per_byte = bits / np.maximum(size, 1)[:, None]
@@ -174,10 +175,10 @@ def language_id(docs: DataFrame, trees: Trees | None, keep: list[str]) -> DataFr
     prepare(docs.sparkSession)
     if trees is None:
         return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte"))
-    source = docs.select(*keep, "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    source = docs.select(*dict.fromkeys([*keep, "text"]), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(keep)])
     shared = docs.sparkSession.sparkContext.broadcast(trees)
-    return source.mapInArrow(partial(_identify, trees=shared, keep=len(keep)), f"{fields}, lang_pred string, score double, bits_per_byte double")
+    return source.mapInArrow(partial(_identify, trees=shared, keep=len(keep), at=source.columns.index("text")), f"{fields}, lang_pred string, score double, bits_per_byte double")
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:
