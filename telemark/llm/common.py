@@ -65,6 +65,21 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_kept: dict[str, object] = {}
+
+
+def worker_cache(key: str, make):
+    """What ``make`` returns, kept in this Python worker until another operator keeps something: workers live on between stages."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def drop_worker_cache() -> None:
+    _kept.clear()
+
+
 def in_fold(key: Column, folds: int, held: int) -> Column:
     """True where crc32(key as text) mod folds is ``held``; false for a null key."""
     return F.coalesce(F.crc32(key.cast("string")) % folds == held, F.lit(False))

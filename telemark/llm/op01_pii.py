@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, prepare, stage_table, text_blocks
+from .common import drop_worker_cache, keyed, prepare, stage_table, text_blocks
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, SUPPORT, ACCEPT = 3, 5, 0.85
@@ -120,6 +120,7 @@ _SEEN = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end",
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, k1, k2, text) rows to (doc_id, k1, k2, base, seen)."""
+    drop_worker_cache()
     for batch in batches:
         base, seen = [], []
         for block in text_blocks(batch.column(3)):

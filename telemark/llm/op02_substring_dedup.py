@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TextBlock, keyed, mix, powers, prepare, sliding_min, span_hashes, stage_table, text_blocks, word_hashes, word_spans
+from .common import TextBlock, drop_worker_cache, keyed, mix, powers, prepare, sliding_min, span_hashes, stage_table, text_blocks, word_hashes, word_spans
 
 WINDOW, ANCHOR = 35, 8
 #: Words handled at once; positions take 24 bits beside 40 bits of hash.
@@ -77,6 +77,7 @@ def paths(words: np.ndarray, first: np.ndarray, window: int = WINDOW, anchor: in
 
 def _find_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(k1, k2, text) rows to (k1, k2, p, n, anchor, path)."""
+    drop_worker_cache()
     for batch in batches:
         for block in text_blocks(batch.column(2)):
             row, p, n, anchor, path = paths(*block_words(block))

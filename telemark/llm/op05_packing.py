@@ -34,10 +34,10 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare, stage_table, text_blocks
+from .common import prepare, stage_table, text_blocks, worker_cache
 
 CAPACITY, END = 4096, 1
-CACHED_WORDS, CACHED_PARTS = 900_000, 1_200_000
+CACHED_WORDS = 600_000
 #: Marks that may follow a word; an apostrophe may start a contraction and isn't among them.
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -125,41 +125,37 @@ class WordEncoder:
             self.ends = np.zeros(max(ids.values()) + 1, dtype=bool)
             self.ends[[i for token, i in ids.items() if token.endswith(suffix)]] = True
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     def _learn(self, unknown: set[bytes]) -> None:
         """Letters and the marks of punctuation after them are encoded apart; other words as they are."""
-        if len(self.parts) > CACHED_PARTS:
-            self.parts.clear()
-        parts, listed = self.parts, list(unknown)
+        listed = list(unknown)
         texts = b"\n".join(listed).decode().split("\n")
         cores = [t.rstrip(_TAIL) for t in texts]
         simple = [c.isalpha() and (c.isascii() or max(c) <= "\xff") for c in cores]
         lower = "\n".join(compress(cores, simple)).lower().split("\n") if any(simple) else []
         tails = [t[len(c) :] for t, c in zip(compress(texts, simple), compress(cores, simple), strict=True)]
-        self._encode_any(list(set(tails).difference(parts)))
-        self._encode_letters(list(set(lower).difference(parts)))
-        get = parts.__getitem__
-        self.words.update(zip(compress(listed, simple), map(add, map(get, lower), map(get, tails)), strict=True))
-        others = [t for t, plain in zip(texts, simple, strict=True) if not plain]
-        for text, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            self.words[text.encode()] = np.array(found.ids, dtype="<u4").tobytes()
-
-    def _encode_any(self, listed: list[str]) -> None:
-        for part, found in zip(listed, self.tokenizer.encode_batch_fast(listed, add_special_tokens=False), strict=True):
-            self.parts[part] = np.array(found.ids, dtype="<u4").tobytes()
-
-    def _encode_letters(self, listed: list[str]) -> None:
+        tail_ids = self._each(set(tails))
+        core_ids = self._letters(set(lower))
+        self.words.update(zip(compress(listed, simple), map(add, map(core_ids.__getitem__, lower), map(tail_ids.__getitem__, tails)), strict=True))
+        others = {t for t, plain in zip(texts, simple, strict=True) if not plain}
+        self.words.update((t.encode(), ids) for t, ids in self._each(others).items())
+
+    def _each(self, texts: set[str]) -> dict[str, bytes]:
+        listed = list(texts)
+        found = self.tokenizer.encode_batch_fast(listed, add_special_tokens=False)
+        return {t: np.array(f.ids, dtype="<u4").tobytes() for t, f in zip(listed, found, strict=True)}
+
+    def _letters(self, texts: set[str]) -> dict[str, bytes]:
         """Words of lower-case Latin letters, in one go: each ends with the only id that has the suffix."""
-        if not listed or self.plain is None:
-            return self._encode_any(listed)
+        if not texts or self.plain is None:
+            return self._each(texts)
+        listed = list(texts)
         ids = np.array(self.plain.encode_batch_fast([" ".join(listed)], add_special_tokens=False)[0].ids, dtype="<u4")
         cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
         if len(cuts) != len(listed) + 1:
-            return self._encode_any(listed)
+            return self._each(texts)
         raw = ids.tobytes()
-        self.parts.update(zip(listed, [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
-        return None
+        return dict(zip(listed, [raw[a:b] for a, b in pairwise(cuts)], strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
@@ -178,15 +174,8 @@ class WordEncoder:
         return [b"".join(ids[a:b]) for a, b in pairwise(ends)]
 
 
-_encoders: dict[int, WordEncoder] = {}
-
-
 def encoder(vocabulary: str) -> WordEncoder:
-    key = zlib.crc32(vocabulary.encode())
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = WordEncoder(vocabulary)
-    return _encoders[key]
+    return worker_cache(f"words {zlib.crc32(vocabulary.encode())}", lambda: WordEncoder(vocabulary))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast, capacity: int, end: int) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from .common import prepare, text_blocks
+from .common import prepare, text_blocks, worker_cache
 
 SPACE = "▁"
 BYTE_PRICE = -1e6
@@ -134,16 +134,9 @@ class Codec:
         return b"".join([raw[i] for i in ids.tolist()]).decode().removeprefix(" ")
 
 
-_codecs: dict[int, Codec] = {}
-
-
 def codec(model: Broadcast) -> Codec:
     pieces, by_byte = model.value
-    key = zlib.crc32("\n".join(p for p, _, _ in pieces).encode())
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(pieces, by_byte)
-    return _codecs[key]
+    return worker_cache(f"pieces {zlib.crc32(chr(10).join(p for p, _, _ in pieces).encode())}", lambda: Codec(pieces, by_byte))
 
 
 def _encode(batches: Iterator[pa.RecordBatch], model: Broadcast, with_ids: bool) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, prepare, stage_table, text_blocks
+from .common import drop_worker_cache, mix, prepare, stage_table, text_blocks
 from .graph import components
 
 RADIUS, SHINGLE, SEED = 2, 3, 42
@@ -73,6 +73,7 @@ def fingerprints(column: pa.Array) -> np.ndarray:
 
 
 def _fingerprint(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    drop_worker_cache()
     for batch in batches:
         found = pa.array(fingerprints(batch.column(text)).view(np.int64))
         kept = [i for i in range(batch.num_columns) if i != text]

@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, prepare, text_blocks
+from .common import in_fold, prepare, text_blocks, worker_cache
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -95,19 +95,13 @@ class Trees:
             tables.append(own)
             base += len(known)
             parent_at, parent = known, own
-        return rows, np.concatenate(tables).reshape(-1, n), columns
-
-
-_flat: dict[str, tuple] = {}
+        return rows.astype(np.uint16) if base < 1 << 16 else rows, np.concatenate(tables).reshape(-1, n), columns
 
 
 def _tables(trees: Broadcast | Trees) -> tuple[Trees, np.ndarray, np.ndarray, int]:
     """The flattened table, built once in each worker."""
     own = trees.value if isinstance(trees, Broadcast) else trees
-    if own.key not in _flat:
-        _flat.clear()
-        _flat[own.key] = (own, *own.flatten())
-    return _flat[own.key]
+    return worker_cache(own.key, lambda: (own, *own.flatten()))
 
 
 def code_lengths(column: pa.Array, trees: Broadcast | Trees, window: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
