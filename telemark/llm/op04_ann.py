@@ -4,7 +4,7 @@ Coarse centroids (k-means) make the cells; a vector's residual to its centroid i
 sub-centroids in each of eight groups of dimensions. A query visits its nearest cells, ranks their
 codes by asymmetric distance tables and reranks the best ``RERANK`` of each block by exact distances.
 
-Learning uses a bounded sample: ``SAMPLE`` distinct vectors at most, by hash. From it come centroids,
+Learning uses a bounded sample: distinct vectors by hash, ``SAMPLE`` at most and ``SAMPLE_BYTES`` at most. From it come centroids,
 codebooks and the number of cells to probe (the fewest that reach ``RECALL`` on the sample itself, whose
 neighbours lie further apart than those of all vectors). Every vector is indexed.
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import prepare, stage_table
 
 NEAREST, STEP = 10, 100
-SAMPLE, MAX_CELLS, GROUPS, CODES = 32_768, 2_048, 8, 256
+SAMPLE, SAMPLE_BYTES, MAX_CELLS, GROUPS, CODES = 32_768, 32 << 20, 2_048, 8, 256
 RERANK, BLOCK, RECALL = 96, 8_192, 0.98
 
 
@@ -173,8 +173,10 @@ def nearest_vectors(df: DataFrame) -> DataFrame:
     if not total:
         return empty
     place = F.abs(F.xxhash64("embedding") % (1 << 20)) / (1 << 20)
-    sample = distinct.filter(place < min(1.0, 0.9 * SAMPLE / total)).select("embedding").limit(SAMPLE).toArrow()
-    sample = matrix(sample["embedding"]) if sample.num_rows else matrix(distinct.select("embedding").limit(1).toArrow()["embedding"])
+    first = distinct.select("embedding").limit(1).toArrow()
+    most = max(1_000, min(SAMPLE, SAMPLE_BYTES // (4 * len(first["embedding"][0]))))
+    sample = distinct.filter(place < min(1.0, 0.9 * most / total)).select("embedding").limit(most).toArrow()
+    sample = matrix((sample if sample.num_rows else first)["embedding"])
     sample = sample[np.lexsort(sample.T)]  # file order must not matter
     index = spark.sparkContext.broadcast(Index(sample, total))
 
