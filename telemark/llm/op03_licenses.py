@@ -114,16 +114,16 @@ class TemplateIndex:
         return min(16, max(2, len(self.words[t]) // 4))
 
 
-def align(template: list[int], words: list[int], band: int) -> tuple[int, int, int]:
-    """Matched words, and first and last place in ``words``, of the best local alignment; template word i meets places i to i + 2 * band."""
+def align(template: list[int], words: list[int], band: int, lead: int = 0) -> tuple[int, int, int]:
+    """Matched words, and first and last place in ``words``, of the best local alignment; template word i meets places i - lead to i - lead + 2 * band."""
     m, width = len(template), 2 * band + 1
     rows = [[(0, 0, -1)] * (width + 1)]  # score, matches, first place; a column more on the right
     best = (0, 0, -1, -1)
     for i in range(m):
         above, row, left = rows[-1], [], (0, 0, -1)
         for j in range(width):
-            at = i + j
-            if at >= len(words):
+            at = i + j - lead
+            if not 0 <= at < len(words):
                 row.append((0, 0, -1))
                 left = (0, 0, -1)
                 continue
@@ -166,9 +166,10 @@ def _scan(batches: Iterator[pa.RecordBatch], index: TemplateIndex, coverage: flo
                 if last and last[:2] == (d, own) and g - last[2] <= band:
                     continue
                 last = (d, own, g)
-                begin = max(int(first[d]), g - band // 2)
-                piece = words[begin : min(int(first[d + 1]), begin + len(index.words[own]) + 2 * band)].tolist()
-                n, f, e = align(index.words[own], piece, band)
+                lowest = g - band // 2
+                begin = max(int(first[d]), lowest)
+                piece = words[begin : min(int(first[d + 1]), lowest + len(index.words[own]) + 2 * band)].tolist()
+                n, f, e = align(index.words[own], piece, band, begin - lowest)
                 if n >= coverage * len(index.words[own]):
                     base = block.offsets[d]
                     points = block.data[base : ends[begin + e]] & 0xC0 != 0x80
