@@ -22,6 +22,7 @@ class Rule:
     expected: tuple[int, int] | None = None
 
 
+# The numbers in the two classes below.
 @dataclass(frozen=True)
 class Baseline:
     """A day is compared with the median of the last ``window`` normal days."""

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values.
 TERABYTE = 1_000_000_000_000
 #: More power-on hours than twenty years hold are not believed.
 MAX_HOURS = 175_200

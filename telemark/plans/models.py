@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.telemetry import afr_pct, age_days, any_positive, count_where, is_boot, quarter_end, year_quarter
 
+# Counters, horizon and warm-up of the failure tables, in days.
 COUNTERS = ("realloc", "uncorrect", "timeout", "pending", "offline")
 HORIZON, WARM_UP = 30, 37
 
@@ -108,6 +109,7 @@ class Era:
         return devices >= self.min_devices if self.min_days is None else (devices > self.min_devices) & (days > self.min_days)
 
 
+# Which models count as large, by era.
 ERAS = (Era("2019", 45), Era("2023", 60), Era(None, 100, 10_000))
 
 
