@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import prepare, stage_table, text_blocks, worker_cache
 
 CAPACITY, END = 4096, 1
-CACHED_WORDS = 600_000
+CACHED_WORDS = 800_000
 #: Marks that may follow a word; an apostrophe may start a contraction and isn't among them.
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -229,5 +229,6 @@ def pack(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, end: i
     plan = spark.sparkContext.broadcast(best_fit_plan(total, capacity))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = pieces.join(before, ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("idx")).alias("rank"))
+    # The counts grow with the partitions, so they are merged and not broadcast.
+    ranked = pieces.join(before.hint("merge"), ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("idx")).alias("rank"))
     return ranked.mapInArrow(partial(_place, plan=plan, capacity=capacity), f"{shape}, sequence_id long, offset long")
