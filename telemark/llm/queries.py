@@ -65,4 +65,15 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The other operators tokenise, hash with XXH64, learn or search approximately, which SQL can't express.
+ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT doc_id, k, sha256(array_to_string(words[k:k + 34], ' ')) AS h FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS k FROM w WHERE len(words) >= 35)),
+repeated AS (SELECT doc_id, k FROM (SELECT doc_id, k, count(*) OVER (PARTITION BY h) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, k + i AS p FROM repeated, range(35) AS t(i)),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w),
+kept AS (SELECT l.doc_id, string_agg(l.word, ' ' ORDER BY l.p) AS text, count(*) AS n FROM placed l ANTI JOIN gone g ON g.doc_id = l.doc_id AND g.p = l.p GROUP BY 1)
+SELECT w.doc_id, len(w.words) AS n_words, len(w.words) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256 FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
+""",
+}

@@ -103,6 +103,15 @@ def test_op2(spark, sf_dir, docs):
     check_op2({r.doc_id: r for r in result(spark, sf_dir, "op2_substring_dedup")}, docs)
 
 
+def test_op2_oracle(spark, sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    theirs = con.execute(queries.ORACLE_SQL["op2_substring_dedup"]).fetchall()
+    assert sorted(theirs) == sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in result(spark, sf_dir, "op2_substring_dedup"))
+
+
 def test_op2_planted(spark):
     """Shared passages of every length around the window, shifted, periodic and cut by other words."""
     words = [f"w{i}" for i in range(400)]
