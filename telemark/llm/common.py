@@ -8,9 +8,12 @@ unstable row order. Only where that setting is absent (tests, a laptop) a tempor
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,24 @@ BLOCK_BYTES = 1 << 19
 _own_scratch: str | None = None
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per Spark context: their Python need not find it on a path."""
+    context = spark.sparkContext
+    if getattr(context, "_package_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="package-")
+    atexit.register(shutil.rmtree, folder, True)
+    with zipfile.ZipFile(f"{folder}/{package.name}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    context.addPyFile(f"{folder}/{package.name}.zip")
+    context._package_shipped = True
+
+
 def prepare(spark: SparkSession) -> None:
-    """Session settings that bound memory and disk: small Arrow batches, shuffle files dropped after each job."""
+    """Ship the package, and bound memory and disk: small Arrow batches, shuffle files dropped after each job."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
