@@ -7,7 +7,9 @@ days: a few thousand entries per series however many rows a day has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.contract import Baseline, Limits
@@ -113,6 +115,16 @@ def judge_days(checks: DataFrame, counts: DataFrame, limits: Limits = Limits(),
     )
 
 
+def continuity(rows: DataFrame, attributes: tuple[str, ...] = ("model", "capacity_bytes"), limits: Limits = Limits()) -> DataFrame:
+    """Per day: devices whose attributes differ from their previous row's, and devices seen after a failure; over the limit, the day would be blocked."""
+    before = Window.partitionBy("serial_number").orderBy("date")
+    changed = reduce(lambda a, b: a | b, [F.coalesce(F.col(a) != F.lag(a).over(before), F.lit(False)) for a in attributes])
+    failed = F.coalesce(F.max(F.col("failure").cast("int")).over(before.rowsBetween(Window.unboundedPreceding, -1)) == 1, F.lit(False))
+    marked = rows.select("date", changed.alias("changed"), failed.alias("failed"))
+    counted = marked.groupBy("date").agg(F.count_if("changed").alias("changed_devices"), F.count_if("failed").alias("reappeared_devices"))
+    return counted.withColumn("too_many", F.greatest("changed_devices", "reappeared_devices") > limits.conflicting_devices)
+
+
 def defect_verdicts(days: DataFrame, defects: dict) -> DataFrame:
     """Verdicts of listed days that are not loaded: a known gap, with the real row count."""
     spark = days.sparkSession

@@ -179,6 +179,17 @@ def defect_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.defect_verdicts(event_days(spark, sf_dir), listed).select("date", "status", "bronze_rows", "silver_rows")
 
 
+CONTINUITY = """SELECT date, count(*) FILTER (changed) AS changed_devices, count(*) FILTER (failed) AS reappeared_devices, greatest(count(*) FILTER (changed), count(*) FILTER (failed)) > 10 AS too_many
+FROM (SELECT date, coalesce(pending <> lag(pending) OVER w, false) OR coalesce(model <> lag(model) OVER w, false) AS changed,
+             coalesce(max(CAST(failure AS INT)) OVER (PARTITION BY serial_number ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 1, false) AS failed
+      FROM sp WINDOW w AS (PARTITION BY serial_number ORDER BY date)) GROUP BY 1"""
+
+
+@query(with_sql(CONTINUITY, SUPPLIER_PANEL))
+def continuity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.continuity(supplier_panel(spark, sf_dir), ("pending", "model"), Limits(conflicting_devices=10))
+
+
 # Data assertions: a row is a failure. Oracles return the same rows, for most of them none.
 DIM_CTES = (PART_PANEL, PATTERNS_PP, dim_sql("pp"))
 
