@@ -1,10 +1,14 @@
-"""Operator 6: SentencePiece encoding by an Aho-Corasick Viterbi, and exact decoding.
+"""Operator 6: SentencePiece encoding in one Aho-Corasick pass, and exact decoding.
 
 Pieces and scores come from a model file. An Aho-Corasick automaton over the pieces reads each unit
-once; at every position its output links give the pieces that end there, and each relaxes the best
-score up to that position. A character that is no piece becomes its UTF-8 byte pieces at a heavy
-price. Ties go to the longer last piece. The result is the segmentation with the highest total score
-(the file's scores are ranks, so the library's merge order may cut some words differently).
+once; at every position its output links give the pieces that end there. A character that is no piece
+becomes its UTF-8 byte pieces.
+
+Where scores are merge ranks (a BPE file, as that of the query), the longest piece is taken that stands
+beside the last piece of the text before it: merging the two alone leaves them as they are. A
+segmentation whose neighbours all stand is the one that merging by rank gives, so ids are the library's.
+Where scores are log probabilities (a unigram file), each piece relaxes the best score up to its end;
+bytes cost a heavy price and ties go to the longer last piece.
 
 A text is cut into units where no piece of the vocabulary can cross (checked when it is loaded: before
 white space, and around marks that never share a piece with others), so units are cached in a bounded
@@ -35,6 +39,7 @@ from .common import prepare, text_blocks, worker_cache
 SPACE = "▁"
 BYTE_PRICE = -1e6
 CACHED_UNITS = 400_000
+CACHED_PAIRS = 1_000_000
 
 
 def load_pieces(path: str) -> tuple[list[tuple[str, float, int]], list[int]]:
@@ -52,8 +57,15 @@ def load_pieces(path: str) -> tuple[list[tuple[str, float, int]], list[int]]:
     return pieces, by_byte
 
 
+def by_rank(pieces: list[tuple[str, float, int]]) -> bool:
+    """Whether the scores are merge ranks, which are whole numbers."""
+    return all(score == int(score) for _, score, _ in pieces)
+
+
 class Codec:
-    def __init__(self, pieces: list[tuple[str, float, int]], by_byte: list[int]):
+    """Cuts by the highest total score or, with ``merges``, as merging by score does."""
+
+    def __init__(self, pieces: list[tuple[str, float, int]], by_byte: list[int], merges: bool = False):
         import ahocorasick
 
         self.by_byte = by_byte
@@ -65,6 +77,9 @@ class Codec:
         self.raw = {i: p.replace(SPACE, " ").encode() for p, _, i in pieces} | {i: bytes([b]) for b, i in enumerate(by_byte)}
         self.unit = self._unit_pattern([p for p, _, _ in pieces])
         self.cache: dict[str, bytes] = {}
+        self.segment = self.merged if merges else self.viterbi
+        self.score = {p: s for p, s, _ in pieces}
+        self.beside: dict[tuple[str, str], bool] = {}
 
     @staticmethod
     def _unit_pattern(pieces: list[str]) -> re.Pattern:
@@ -108,6 +123,57 @@ class Codec:
         if found > best[i + 1]:
             best[i + 1], back[i + 1] = found, (i, [self.by_byte[b] for b in raw])
 
+    def merge(self, text: str) -> list[str]:
+        """Characters merged pair by pair, the highest score first, the leftmost of equal ones."""
+        parts, score = list(text), self.score
+        found = [score.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
+        while found and (best := max(found)) > -np.inf:
+            i = found.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del found[i]
+            if i:
+                found[i - 1] = score.get(parts[i - 1] + parts[i], -np.inf)
+            if i < len(found):
+                found[i] = score.get(parts[i] + parts[i + 1], -np.inf)
+        return parts
+
+    def stands(self, before: str, piece: str) -> bool:
+        """Whether merging leaves ``piece`` as it is after ``before`` (empty: at the beginning)."""
+        known = self.beside.get((before, piece))
+        if known is None:
+            if len(self.beside) >= CACHED_PAIRS:
+                self.beside.clear()
+            known = self.beside[before, piece] = self.merge(before + piece) == ([before, piece] if before else [piece])
+        return known
+
+    def merged(self, unit: str) -> list[int]:
+        n, stands = len(unit), self.stands
+        last: list[str | None] = [""] + [None] * n  # the last piece of the text up to each place
+        ids: list[list[int]] = [[]] * (n + 1)
+        strange = [i for i, c in enumerate(unit) if c not in self.singles] if not self.singles.issuperset(unit) else []
+        strange.append(n)
+        waiting = 0
+
+        def alone(i: int) -> None:
+            if last[i + 1] is None and last[i] is not None and stands(last[i], unit[i]):
+                last[i + 1], ids[i + 1] = unit[i], [self.by_byte[b] for b in unit[i].encode()]
+
+        for end, (length, _, piece) in self.automaton.iter(unit):  # the longest piece of each end comes first
+            while strange[waiting] < end:
+                alone(strange[waiting])
+                waiting += 1
+            if last[end + 1] is None:
+                before, text = last[end + 1 - length], unit[end + 1 - length : end + 1]
+                if before is not None and stands(before, text):
+                    last[end + 1], ids[end + 1] = text, [piece]
+        for i in strange[waiting:-1]:
+            alone(i)
+        out, at = [], n
+        while at:
+            out += ids[at][::-1]
+            at -= len(last[at])
+        return out[::-1]
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit numbers."""
         if not text:
@@ -126,7 +192,7 @@ class Codec:
                 cache.clear()
                 new = set(units)
             for unit in new:
-                cache[unit] = np.array(self.viterbi(unit), dtype="<u4").tobytes()
+                cache[unit] = np.array(self.segment(unit), dtype="<u4").tobytes()
         return b"".join([cache[u] for u in units])
 
     def decode(self, ids: np.ndarray) -> str:
@@ -136,7 +202,7 @@ class Codec:
 
 def codec(model: Broadcast) -> Codec:
     pieces, by_byte = model.value
-    return worker_cache(f"pieces {zlib.crc32(chr(10).join(p for p, _, _ in pieces).encode())}", lambda: Codec(pieces, by_byte))
+    return worker_cache(f"pieces {zlib.crc32(chr(10).join(p for p, _, _ in pieces).encode())}", lambda: Codec(pieces, by_byte, by_rank(pieces)))
 
 
 def _encode(batches: Iterator[pa.RecordBatch], model: Broadcast, with_ids: bool) -> Iterator[pa.RecordBatch]:
