@@ -4,8 +4,10 @@ Base rules find e-mail addresses, IP addresses, card and phone numbers in whole
 bootstrap: each base match, and each other token that looks like an identifier (four digits or more,
 or an ``@``), is an instance; the one and the two words before it are its lexical patterns. Spark keeps
 the bipartite graph of patterns and instances (combined counts, equi-joins) and scores it in rounds: a
-pattern's score for a kind is the confidence of its distinct instances over their number plus one, an
-instance's confidence the noisy-or of its accepted patterns. Patterns of ``SUPPORT`` confident instances and
+pattern's score for a kind is the confidence of its distinct instances of that kind over that of all kinds
+and the number of its refused ones; an instance's confidence is the noisy-or of its accepted patterns.
+Unlabelled instances say nothing, as they are what a pattern is to find; refused are those that are of no
+kind (no ``@``, no three dots, and not the 7 to 19 digits of numbers of phones and cards). Patterns of ``SUPPORT`` confident instances and
 ``ACCEPT`` score are accepted; they mark instances that no base rule knows and thereby feed the next round.
 
 Regular expressions are written so that each text is read in linear time. Texts travel once, into
@@ -24,7 +26,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_worker_cache, keyed, prepare, stage_table, text_blocks
@@ -140,12 +142,16 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def accepted_patterns(edges: DataFrame) -> DataFrame:
     """(pattern, token, kind or -1) edges, distinct, to (pattern, kind, score) after the last round."""
     seeds = edges.groupBy("token").agg(F.max("kind").alias("kind")).filter("kind >= 0").withColumn("c", F.lit(1.0))
-    degree = edges.groupBy("pattern").agg(F.count_distinct("token").alias("n")).filter(F.col("n") >= SUPPORT)
+    digits, dots = (F.length(F.regexp_replace("token", x, "")) for x in ("[^0-9]", "[^.]"))
+    refused = (F.col("kind") < 0) & ~F.col("token").contains("@") & ~digits.between(7, 19) & (dots < 3)
+    own = edges.groupBy("pattern", "token").agg(F.max("kind").alias("kind"))
+    degree = own.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if(refused).alias("against")).filter(F.col("n") >= SUPPORT).drop("n")
     links = stage_table(edges.select("pattern", "token").distinct().join(degree, "pattern"), "pattern-links")
     seeds = stage_table(seeds, "seeds")
     sure, accepted = seeds, None
     for round_ in range(ROUNDS):
-        rated = links.join(sure, "token").groupBy("pattern", "kind").agg((F.sum("c") / (F.first("n") + 1)).alias("score"), F.sum((F.col("c") >= 0.5).cast("int")).alias("support"))
+        rated = links.join(sure, "token").groupBy("pattern", "kind").agg(F.sum("c").alias("c"), F.first("against").alias("against"), F.sum((F.col("c") >= 0.5).cast("int")).alias("support"))
+        rated = rated.withColumn("score", F.col("c") / (F.sum("c").over(Window.partitionBy("pattern")) + F.col("against")))
         accepted = stage_table(rated.filter((F.col("score") >= ACCEPT) & (F.col("support") >= SUPPORT)).select("pattern", "kind", "score"), "patterns")
         if round_ == ROUNDS - 1 or accepted.isEmpty():
             break

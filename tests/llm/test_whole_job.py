@@ -2,8 +2,9 @@
 
 import numpy as np
 import public_tokenizers
+import pytest
 
-from telemark.llm import op06_sentencepiece
+from telemark.llm import op01_pii, op06_sentencepiece
 from telemark.llm.common import table
 
 
@@ -26,3 +27,14 @@ def test_op6_score_kinds():
     assert not op06_sentencepiece.by_rank(pieces)
     ids = [np.frombuffer(op06_sentencepiece.Codec(pieces, list(range(10, 266)), merges).encode("abc"), "<u4").tolist() for merges in (False, True)]
     assert ids == [[5, 0, 4], [5, 0, 4]]
+
+
+@pytest.mark.parametrize(("known", "unseen"), [(5, 1), (12, 3), (12, 12), (100, 20)])
+def test_op1_finds_many_unseen(spark, known, unseen):
+    """Up to half of the identifiers after a phrase are unseen; years after another phrase are no phones."""
+    rows = [(i, f"note {i} call me at +1 555 0{i:03d} 22{i:03d} thanks") for i in range(known)]
+    rows += [(1000 + i, f"please call me at 555-0{i:03d}-x today") for i in range(unseen)]
+    rows += [(2000 + i, f"born in +1 555 0{i:03d} 33{i:03d}") for i in range(6)] + [(3000 + i, f"born in {1950 + i} there") for i in range(30)]
+    found = {r.doc_id: r.spans for r in op01_pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[1000 + i].startswith("phone:18:") for i in range(unseen))
+    assert not any(found[3000 + i] for i in range(30))
