@@ -39,7 +39,7 @@ from .common import prepare, text_blocks, worker_cache
 SPACE = "▁"
 BYTE_PRICE = -1e6
 CACHED_UNITS = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 500_000
 
 
 def load_pieces(path: str) -> tuple[list[tuple[str, float, int]], list[int]]:
@@ -79,6 +79,7 @@ class Codec:
         self.cache: dict[str, bytes] = {}
         self.segment = self.merged if merges else self.viterbi
         self.score = {p: s for p, s, _ in pieces}
+        self.made: dict[str, tuple[float, str, str] | None] = {}
         self.beside: dict[tuple[str, str], bool] = {}
 
     @staticmethod
@@ -123,11 +124,11 @@ class Codec:
         if found > best[i + 1]:
             best[i + 1], back[i + 1] = found, (i, [self.by_byte[b] for b in raw])
 
-    def merge(self, text: str) -> list[str]:
-        """Characters merged pair by pair, the highest score first, the leftmost of equal ones."""
+    def merge(self, text: str, least: int = 1) -> list[str]:
+        """Characters merged pair by pair, the highest score first, the leftmost of equal ones, down to ``least`` parts."""
         parts, score = list(text), self.score
         found = [score.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
-        while found and (best := max(found)) > -np.inf:
+        while len(parts) > least and found and (best := max(found)) > -np.inf:
             i = found.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
             del found[i]
@@ -137,17 +138,42 @@ class Codec:
                 found[i] = score.get(parts[i] + parts[i + 1], -np.inf)
         return parts
 
+    def halves(self, piece: str) -> tuple[float, str, str] | None:
+        """Score of a piece and what its last merge joins; none if merging its characters does not make it."""
+        if piece not in self.made:
+            if len(piece) == 1:
+                self.made[piece] = np.inf, "", ""
+            else:
+                self.made[piece] = (self.score[piece], *self.merge(piece, 2)) if self.merge(piece) == [piece] else None
+        return self.made[piece]
+
     def stands(self, before: str, piece: str) -> bool:
-        """Whether merging leaves ``piece`` as it is after ``before`` (empty: at the beginning)."""
-        known = self.beside.get((before, piece))
-        if known is None:
-            if len(self.beside) >= CACHED_PAIRS:
-                self.beside.clear()
-            known = self.beside[before, piece] = self.merge(before + piece) == ([before, piece] if before else [piece])
-        return known
+        """Whether merging leaves ``piece`` as it is after ``before`` (empty: at the beginning).
+
+        Going back merge by merge, no pair across the border may have a merge due before the one undone.
+        """
+        right = self.halves(piece)
+        if right is None or not before:
+            return right is not None
+        left, score = self.halves(before), self.score
+        if before + piece in score:
+            return False
+        while True:
+            if left[0] < right[0]:
+                due, before = left[0], left[2]
+                left = self.halves(before)
+                if score.get(before + piece, -np.inf) > due:
+                    return False
+            elif right[0] < np.inf:
+                due, piece = right[0], right[1]
+                right = self.halves(piece)
+                if score.get(before + piece, -np.inf) >= due:
+                    return False
+            else:
+                return True
 
     def merged(self, unit: str) -> list[int]:
-        n, stands = len(unit), self.stands
+        n, stands, known = len(unit), self.stands, self.beside
         last: list[str | None] = [""] + [None] * n  # the last piece of the text up to each place
         ids: list[list[int]] = [[]] * (n + 1)
         strange = [i for i, c in enumerate(unit) if c not in self.singles] if not self.singles.issuperset(unit) else []
@@ -164,7 +190,14 @@ class Codec:
                 waiting += 1
             if last[end + 1] is None:
                 before, text = last[end + 1 - length], unit[end + 1 - length : end + 1]
-                if before is not None and stands(before, text):
+                if before is None:
+                    continue
+                fits = known.get((before, text))
+                if fits is None:
+                    if len(known) >= CACHED_PAIRS:
+                        known.clear()
+                    fits = known[before, text] = stands(before, text)
+                if fits:
                     last[end + 1], ids[end + 1] = text, [piece]
         for i in strange[waiting:-1]:
             alone(i)
