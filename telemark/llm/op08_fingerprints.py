@@ -1,7 +1,8 @@
 """Operator 8: weighted SimHash fingerprints of whole texts, and search within a Hamming radius.
 
-Terms are words (weight 1) and pairs of neighbouring words (weight 2); a text of under 32 words adds
-its runs of four bytes (weight 1), so that short texts still compare. Each term hash votes with its
+Terms are words (weight 1) and pairs of neighbouring words (weight 2); a text of under 64 words adds
+its runs of four bytes, so that short texts still compare, with a weight that falls evenly from 1 for no
+word to 0 for 64 words: a few words more or less change little at any length. Each term hash votes with its
 weight on 128 signed bits; a fingerprint bit is 1 where the sum is positive. Hashing and voting are
 vectorised over blocks of text.
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import TextBlock, mix, prepare, stage_table, text_blocks, word_hashes, word_spans
 from .op07_simhash_dedup import bit_counts
 
-BITS, SHORT_WORDS, RUN = 128, 32, 4
+BITS, FADED_WORDS, RUN = 128, 64, 4
 _SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
 
 
@@ -51,14 +52,16 @@ def block_fingerprints(block: TextBlock) -> np.ndarray:
     edge = first[1:-1] - 1  # the pair that begins at a row's last word
     inside[edge[(edge >= 0) & (edge < len(pairs))]] = False
     sums += 2 * _votes(pairs[inside], np.concatenate([[0], np.cumsum(count)]))
-    size = np.where(np.diff(first) < SHORT_WORDS, np.maximum(np.diff(block.offsets) - RUN + 1, 0), 0)
+    sums *= FADED_WORDS
+    weight = np.maximum(FADED_WORDS - np.diff(first), 0)
+    size = np.where(weight > 0, np.maximum(np.diff(block.offsets) - RUN + 1, 0), 0)
     if size.any():
         bounds = np.concatenate([[0], np.cumsum(size)])
         at = np.repeat(block.offsets[:-1] - bounds[:-1], size) + np.arange(bounds[-1])
         runs = np.zeros(len(at), dtype=np.uint64)
         for j in range(RUN):
             runs |= block.data[at + j].astype(np.uint64) << np.uint64(8 * j)
-        sums += _votes(mix(runs + np.uint64(1)), bounds)
+        sums += weight[:, None] * _votes(mix(runs + np.uint64(1)), bounds)
     return np.packbits(sums > 0, axis=1, bitorder="little").view(np.uint64)
 
 

@@ -2,9 +2,10 @@
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from telemark.llm import op01_pii, op06_sentencepiece
+from telemark.llm import op01_pii, op06_sentencepiece, op08_fingerprints
 from telemark.llm.common import table
 
 
@@ -38,3 +39,11 @@ def test_op1_finds_many_unseen(spark, known, unseen):
     found = {r.doc_id: r.spans for r in op01_pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(found[1000 + i].startswith("phone:18:") for i in range(unseen))
     assert not any(found[3000 + i] for i in range(30))
+
+
+def test_op8_no_border_of_length():
+    """An edit across 32 words is as near as edits on either side of it."""
+    words = [f"word{i * 7919 % 1000}" for i in range(60)]
+    prints = op08_fingerprints.fingerprints(pa.array([" ".join(words[:n]) for n in range(24, 48)]))
+    near = op08_fingerprints.likeness(prints[:-1], prints[1:])
+    assert near[31 - 24] >= np.delete(near, 31 - 24).min()
