@@ -140,26 +140,24 @@ def _identify(batches: Iterator[pa.RecordBatch], trees: Broadcast, keep: int, at
         yield pa.RecordBatch.from_arrays([*batch.columns[:keep], said, pa.array(score.round(6)), pa.array(shortest.round(6))], names=[*batch.schema.names[:keep], "lang_pred", "score", "bits_per_byte"])
 
 
-def learn(docs: DataFrame, per_language: int = 160, max_bytes: int = 8192, max_languages: int = 64) -> Trees | None:
-    """Trees from a bounded sample of labelled documents; None if there is no label."""
-    sf = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~in_fold(F.col("doc_id"), FOLDS, HELD_OUT))
-    found = sf.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not found:
-        return None
-    place = F.xxhash64("doc_id") % (1 << 20) / (1 << 20)
-    share = F.create_map(*(F.lit(x) for r in found for x in (r["lang"], min(1.0, 2.0 * per_language / r["count"]))))
+def learn(docs: DataFrame, per_language: int = 160, max_bytes: int = 8192, at_once: int = 64) -> Trees | None:
+    """Trees from a sample of labelled documents of each language, read ``at_once`` languages at a time; None if there is no label."""
     length = F.length("text")
+    sf = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (length > 0) & ~in_fold(F.col("doc_id"), FOLDS, HELD_OUT))
+    found = sf.groupBy("lang").count().orderBy("lang").collect()
+    place = F.xxhash64("doc_id") % (1 << 20) / (1 << 20)
     begin = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(length - max_bytes + 1, F.lit(1))) + 1
-    picked = (
-        sf.filter(F.abs(place) < share[F.col("lang")])
-        .filter(length > 0)
-        .select("lang", F.abs(place).alias("place"), "doc_id", F.col("text").substr(begin.cast("int"), F.lit(max_bytes)).alias("piece"))
-        .collect()
-    )
     samples: dict[str, list[bytes]] = {r["lang"]: [] for r in found}
-    for r in sorted(picked, key=lambda r: (r["place"], r["doc_id"])):
-        if len(samples[r["lang"]]) < per_language:
-            samples[r["lang"]].append(r["piece"].encode())
+    for i in range(0, len(found), at_once):
+        share = F.create_map(*(F.lit(x) for r in found[i : i + at_once] for x in (r["lang"], min(1.0, 2.0 * per_language / r["count"]))))
+        picked = (
+            sf.filter(F.abs(place) < share[F.col("lang")])
+            .select("lang", F.abs(place).alias("place"), "doc_id", F.col("text").substr(begin.cast("int"), F.lit(max_bytes)).alias("piece"))
+            .collect()
+        )
+        for r in sorted(picked, key=lambda r: (r["place"], r["doc_id"])):
+            if len(samples[r["lang"]]) < per_language:
+                samples[r["lang"]].append(r["piece"].encode())
     samples = {k: v for k, v in samples.items() if v}
     return Trees(samples) if samples else None
 

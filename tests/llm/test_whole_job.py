@@ -5,7 +5,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from telemark.llm import op01_pii, op06_sentencepiece, op08_fingerprints
+from telemark.llm import op01_pii, op06_sentencepiece, op08_fingerprints, op09_language_id
 from telemark.llm.common import table
 
 
@@ -47,3 +47,14 @@ def test_op8_no_border_of_length():
     prints = op08_fingerprints.fingerprints(pa.array([" ".join(words[:n]) for n in range(24, 48)]))
     near = op08_fingerprints.likeness(prints[:-1], prints[1:])
     assert near[31 - 24] >= np.delete(near, 31 - 24).min()
+
+
+def test_op9_learns_every_language(spark):
+    docs = spark.createDataFrame([(4 * i + k, f"text {chr(0x400 + i) * 3} of {i}", f"l{i:03d}") for i in range(90) for k in range(4)], "doc_id long, text string, lang string")
+    assert len(op09_language_id.learn(docs).languages) > 80
+
+
+def test_op9_counts_rows_with_text(spark):
+    docs = spark.range(60_000).selectExpr("id as doc_id", "if(id % 3000 = 0, 'nur wenige Texte hier', if(id % 2 = 0, null, '')) as text", "'de' as lang")
+    assert op09_language_id.learn(docs).languages == ["de"]
+    assert op09_language_id.learn(docs).counts[0][0][1].sum() >= 10 * len("nur wenige Texte hier")
