@@ -7,10 +7,13 @@ but lacks it; order -1 gives every byte 8 bits. The language with the shortest c
 
 As statistics are frozen, the trees of all languages flatten into one table of exact code lengths: a
 row for each context that any language knows, a column for each byte seen in training (one more for
-all others) and language. Scoring is two look-ups a byte and works on Arrow buffers.
+all others) and language. Scoring is two look-ups a byte and works on Arrow buffers. Where that table
+would be larger than ``max_table_mb``, as with tens of languages and scripts, each language keeps only
+what it has seen, and the distinct contexts of a window of text are looked up there: code lengths and
+orders are the same, scoring is slower.
 
-Learning uses a bounded sample: ``per_language`` documents of each of the ``max_languages`` most
-frequent languages, from each at most ``max_bytes`` characters at a place fixed by its hash. Rows
+Learning uses a sample of bounded size a language, from every language: ``per_language`` documents, from
+each at most ``max_bytes`` characters at a place fixed by its hash. Rows
 without text, language or doc_id, and those of the held-out fold, teach nothing.
 
 Defined results. Null or letterless text: ``und``, score 0. No learned language: ``und``, score 0.
@@ -56,6 +59,7 @@ class Trees:
         self.key = uuid.uuid4().hex
         self.languages = sorted(samples)
         self.counts: list[list[tuple[np.ndarray, np.ndarray]]] = []
+        self.sparse = False
         seen = np.zeros(256, dtype=bool)
         for k in range(order + 1):
             level = []
@@ -68,11 +72,24 @@ class Trees:
                 level.append(np.unique(keys, return_counts=True))
             width = (int(seen.sum()) + 1) * len(self.languages) * 4
             if k and len(np.unique(np.concatenate([x >> np.uint64(8) for x, _ in level]))) * width > max_table_mb << 20:
-                break
+                self.sparse = True
             self.counts.append(level)
         self.column = np.full(256, int(seen.sum()), dtype=np.int64)
         self.column[seen] = np.arange(seen.sum())
 
+    def by_language(self) -> list[list[tuple[np.ndarray, ...]]]:
+        """For each language and order: known contexts and their escapes, known keys (context, byte) and their code lengths."""
+        found = []
+        for j in range(len(self.languages)):
+            levels = []
+            for level in self.counts:
+                keys, counts = level[j]
+                known, at = np.unique(keys >> np.uint64(8), return_inverse=True)
+                total, kinds = np.bincount(at, weights=counts), np.bincount(at)
+                levels.append((known, -np.log2(kinds / (total + kinds)).astype(np.float32), keys, -np.log2(counts / (total + kinds)[at]).astype(np.float32)))
+            found.append(levels)
+        return found
+
     def flatten(self) -> tuple[np.ndarray, np.ndarray, int]:
         """Row of each context number of the highest order, code lengths [row * columns + column, language], columns."""
         columns, n = int(self.column.max()) + 1, len(self.languages)
@@ -98,10 +115,29 @@ class Trees:
         return rows.astype(np.uint16) if base < 1 << 16 else rows, np.concatenate(tables).reshape(-1, n), columns
 
 
-def _tables(trees: Broadcast | Trees) -> tuple[Trees, np.ndarray, np.ndarray, int]:
-    """The flattened table, built once in each worker."""
+def _tables(trees: Broadcast | Trees) -> tuple:
+    """The flattened table, or what each language has seen and no rows; built once in each worker."""
     own = trees.value if isinstance(trees, Broadcast) else trees
-    return worker_cache(own.key, lambda: (own, *own.flatten()))
+    return worker_cache(own.key, lambda: (own, None, own.by_language(), 0) if own.sparse else (own, *own.flatten()))
+
+
+def _place(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``wanted`` are in the sorted ``known``, and where."""
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    has = known[at] == wanted
+    return has, at[has]
+
+
+def _sparse_prices(levels: list[tuple[np.ndarray, ...]], keys: np.ndarray) -> np.ndarray:
+    """Code length of each key of the highest order under one language."""
+    price = np.full(len(keys), 8.0, dtype=np.float32)
+    for k, (known, escapes, seen, lengths) in enumerate(levels):
+        short = keys & np.uint64((1 << 8 * (k + 1)) - 1)
+        has, at = _place(known, short >> np.uint64(8))
+        price[has] += escapes[at]
+        has, at = _place(seen, short)
+        price[has] = lengths[at]
+    return price
 
 
 def code_lengths(column: pa.Array, trees: Broadcast | Trees, window: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
@@ -119,8 +155,13 @@ def code_lengths(column: pa.Array, trees: Broadcast | Trees, window: int = 1 <<
             inside = (begins < at + window) & (ends > at)
             code = contexts(piece, begins[(begins >= at - lead) & (begins < at + window)] - at + lead, order)[lead:]
             # A text that began before the lead is continued: its first bytes here have true neighbours.
-            price = cost[rows[code].astype(np.int64) * columns + own.column[piece[lead:]]]
             cuts = np.maximum(begins[inside] - at, 0)
+            if rows is None:
+                keys, back = np.unique(code.astype(np.uint64) << np.uint64(8) | piece[lead:], return_inverse=True)
+                for j, levels in enumerate(cost):
+                    bits[block.first + full[inside], j] += np.add.reduceat(_sparse_prices(levels, keys)[back], cuts, dtype=np.float64)
+                continue
+            price = cost[rows[code].astype(np.int64) * columns + own.column[piece[lead:]]]
             bits[block.first + full[inside]] += np.add.reduceat(price, cuts, axis=0, dtype=np.float64)
     return bits, size
 

@@ -58,3 +58,14 @@ def test_op9_counts_rows_with_text(spark):
     docs = spark.range(60_000).selectExpr("id as doc_id", "if(id % 3000 = 0, 'nur wenige Texte hier', if(id % 2 = 0, null, '')) as text", "'de' as lang")
     assert op09_language_id.learn(docs).languages == ["de"]
     assert op09_language_id.learn(docs).counts[0][0][1].sum() >= 10 * len("nur wenige Texte hier")
+
+
+def test_op9_order_is_the_same_at_every_size():
+    from test_learned import code_length
+
+    samples = {"a": [b"the cat sat on the mat", b"that hat"], "b": ["der Hund läuft über".encode(), b"und"], "c": [b"x"]}
+    texts = ["the hat", "der über", "", "zzz \x01 the the cat sat", "x", "läuft the"]
+    trees = op09_language_id.Trees(samples, max_table_mb=0)
+    bits, _ = op09_language_id.code_lengths(pa.array(texts), trees, window=5)
+    want = [[code_length(samples[n], t.encode(), 3) for n in trees.languages] for t in texts]
+    assert len(trees.counts) == 4 and np.allclose(bits, want, rtol=1e-4, atol=1e-4)
