@@ -11,7 +11,8 @@ The index holds templates only, a parameter whose size does not depend on the co
 with the task. Texts are read once, block by block, and nothing is shuffled.
 
 Defined results. Null or empty text: no rows. A notice found twice: two rows. A notice that contains
-another template: a row for each. Repeated rows: equal rows. Empty table: no rows. Extra columns are ignored.
+another template: a row for each, but of
+sibling licences (versions, kinds of one family) on one span only the best covered. Repeated rows: equal rows. Empty table: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,29 +27,91 @@ from pyspark.sql import DataFrame
 from .common import TextBlock, mix, powers, prepare, sliding_min, text_blocks, word_hashes
 
 # Public licence notices.
+_GNU = (
+    "{lead}; you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation; "
+    "either version {version} of the License, or (at your option) any later version. "
+)
+_GNU_WARRANTY = (
+    "This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. "
+    "You should have received a copy of the GNU {name} along with this {what}."
+)
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal "
+    "in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+    "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"
+)
+_MIT_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+    "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_CONDITIONS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+_BSD_2 = (
+    ": 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution. "
+)
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission. "
+)
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE "
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE "
+    "FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+    "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_GPL, _LESSER, _AFFERO = "General Public License", "Lesser General Public License", "Affero General Public License"
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in "
-        "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND."
+        "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License."
     ),
     "MIT": "Released under the MIT License.",
-    "MIT-permission": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal "
-        "in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so."
+    "MIT-permission": f"{_MIT_GRANT}.",
+    "MIT-whole": f"{_MIT_GRANT}, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_MIT_WARRANTY}",
+    **{
+        f"{short}-{v}-{part}": text.format(name=name, version=v.removesuffix(".0"), what=what, lead=f"This {what} is free software")
+        for short, name, what, vs in (("GPL", _GPL, "program", ("2.0", "3.0")), ("LGPL", _LESSER, "library", ("2.1", "3.0")), ("AGPL", _AFFERO, "program", ("3.0",)))
+        for v in vs
+        for part, text in (("header", _GNU + _GNU_WARRANTY), ("grant", _GNU))
+    },
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "EPL-1.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright "
+        "notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+        "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING "
+        "OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
     ),
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    "BSD-conditions": f"{_BSD_CONDITIONS}.",
+    "BSD-2-Clause": _BSD_CONDITIONS + _BSD_2 + _BSD_WARRANTY,
+    "BSD-3-Clause": _BSD_CONDITIONS + _BSD_2 + _BSD_3 + _BSD_WARRANTY,
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
     ),
-    "BSD-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    **{f"{short}-{v}": f"This work is licensed under the GNU {name}, version {v.removesuffix('.0')}." for short, name, vs in (("GPL", _GPL, ("2.0", "3.0")), ("LGPL", _LESSER, ("2.1", "3.0")), ("AGPL", _AFFERO, ("3.0",))) for v in vs},
+    **{f"CC-{x}-{v}": f"Licensed under CC {x} {v}." for x in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND") for v in ("3.0", "4.0")},
     "All-rights-reserved": "All rights reserved.",
 }
+#: Templates that may be taken for one another: of those on one span only the best covered is reported.
+SIBLINGS = [
+    {n for n in TEMPLATES if "GPL-" in n and n.endswith("-header")},
+    {n for n in TEMPLATES if "GPL-" in n and n.endswith("-grant")},
+    {n for n in TEMPLATES if "GPL-" in n and n.endswith((".0", ".1"))},
+    {n for n in TEMPLATES if n.startswith("CC-")},
+    {"BSD-2-Clause", "BSD-3-Clause"},
+    {"EPL-1.0", "EPL-2.0"},
+]
 GRAM, WINNOW, COVERAGE = 3, 3, 0.8
 _BASE = 0xC2B2AE3D27D4EB4F
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -95,6 +158,7 @@ def winnowed(grams: np.ndarray) -> np.ndarray:
 class TemplateIndex:
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
+        self.family = [next((i for i, names in enumerate(SIBLINGS) if n in names), -1) for n in self.names]
         self.words, hashes, owner, place = [], [], [], []
         for t, text in enumerate(templates.values()):
             raw = np.frombuffer(text.encode(), np.uint8)
@@ -144,6 +208,20 @@ def align(template: list[int], words: list[int], band: int, lead: int = 0) -> tu
     return best[1], best[2], best[3]
 
 
+def best_siblings(found: list[tuple[int, int, int, int, int]], index: TemplateIndex) -> list[tuple[int, int, int, int, int]]:
+    """(row, template, matched words, first and last word) without those overlapping a sibling that is covered better; of equals the longer match, then the first template stays."""
+    kept: list[tuple[int, int, int, int, int]] = []
+    spans: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for x in sorted(found, key=lambda x: (-x[2] / len(index.words[x[1]]), -x[2], x[1], x[3])):
+        d, own, _, f, e = x
+        family = index.family[own]
+        rivals = spans.setdefault((d, family), [])
+        if family < 0 or not any(t != own and a <= e and f <= b for t, a, b in rivals):
+            rivals.append((own, f, e))
+            kept.append(x)
+    return sorted(kept)
+
+
 def _scan(batches: Iterator[pa.RecordBatch], index: TemplateIndex, coverage: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         row, name, start, end, matched, share = [], [], [], [], [], []
@@ -160,7 +238,7 @@ def _scan(batches: Iterator[pa.RecordBatch], index: TemplateIndex, coverage: flo
             doc = np.searchsorted(first, place, "right") - 1
             guess = place - index.place[entry]
             order = np.lexsort((guess, t, doc))
-            last = None
+            last, found = None, []
             for d, own, g in zip(doc[order].tolist(), t[order].tolist(), guess[order].tolist(), strict=True):
                 band = index.band(own)
                 if last and last[:2] == (d, own) and g - last[2] <= band:
@@ -171,14 +249,16 @@ def _scan(batches: Iterator[pa.RecordBatch], index: TemplateIndex, coverage: flo
                 piece = words[begin : min(int(first[d + 1]), lowest + len(index.words[own]) + 2 * band)].tolist()
                 n, f, e = align(index.words[own], piece, band, begin - lowest)
                 if n >= coverage * len(index.words[own]):
-                    base = block.offsets[d]
-                    points = block.data[base : ends[begin + e]] & 0xC0 != 0x80
-                    row.append(block.first + d)
-                    name.append(index.names[own])
-                    start.append(int(points[: starts[begin + f] - base].sum()))
-                    end.append(int(points.sum()))
-                    matched.append(n)
-                    share.append(n / len(index.words[own]))
+                    found.append((d, own, n, begin + f, begin + e))
+            for d, own, n, f, e in best_siblings(found, index):
+                base = block.offsets[d]
+                points = block.data[base : ends[e]] & 0xC0 != 0x80
+                row.append(block.first + d)
+                name.append(index.names[own])
+                start.append(int(points[: starts[f] - base].sum()))
+                end.append(int(points.sum()))
+                matched.append(n)
+                share.append(n / len(index.words[own]))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(pa.array(row, pa.int64())), pa.array(name, pa.string()), *(pa.array(x, pa.int64()) for x in (start, end, matched)), pa.array(share, pa.float64())],
             names=["doc_id", "license", "start", "end", "matched_words", "coverage"],

@@ -5,7 +5,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from telemark.llm import op01_pii, op06_sentencepiece, op08_fingerprints, op09_language_id
+from telemark.llm import op01_pii, op03_licenses, op06_sentencepiece, op08_fingerprints, op09_language_id
 from telemark.llm.common import table
 
 
@@ -69,3 +69,14 @@ def test_op9_order_is_the_same_at_every_size():
     bits, _ = op09_language_id.code_lengths(pa.array(texts), trees, window=5)
     want = [[code_length(samples[n], t.encode(), 3) for n in trees.languages] for t in texts]
     assert len(trees.counts) == 4 and np.allclose(bits, want, rtol=1e-4, atol=1e-4)
+
+
+def test_op3_names_the_right_sibling(spark):
+    names = list(op03_licenses.TEMPLATES)
+    docs = spark.createDataFrame([(i, f"some words {op03_licenses.TEMPLATES[n]} more words") for i, n in enumerate(names)], "doc_id long, text string")
+    found = {}
+    for r in op03_licenses.find_licenses(docs).collect():
+        found.setdefault(r.doc_id, {})[r.license] = r.coverage
+    for i, n in enumerate(names):
+        assert found[i].get(n) == 1.0, n
+        assert not any(n in s and m in s for s in op03_licenses.SIBLINGS for m in found[i] if m != n), n
