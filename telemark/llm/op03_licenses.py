@@ -1,9 +1,9 @@
 """Operator 3: licence notices by winnowed fingerprints and banded alignment.
 
-Templates and texts become lower-case alphanumeric words. The templates' hashes of three neighbouring
-words are winnowed (the smallest of each three in a row is kept) into an inverted index; every such
-hash of a text is looked up there, so a shared run of five words, or a whole shorter template, always
-hits. Hits of one template whose estimated beginnings lie within a band make a candidate. Each is aligned word
+Templates and texts become lower-case alphanumeric words. The templates' hashes of up to
+three neighbouring words are winnowed (the smallest of some in a row is kept) into an inverted index, and
+every such hash of a text is looked up there. For each template run length and window are such that they
+fit the run of words that is left when as many words are changed as the coverage allows, so that it hits. Hits of one template whose estimated beginnings lie within a band make a candidate. Each is aligned word
 by word inside the band (local alignment: match 2, mismatch or gap -1) and reported if enough of the
 template matches.
 
@@ -17,6 +17,7 @@ sibling licences (versions, kinds of one family) on one span only the best cover
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -131,48 +132,69 @@ def folded_words(block: TextBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return word_hashes(TextBlock(_FOLD[block.data], block.offsets, 0), starts, ends), starts, ends, np.searchsorted(starts, block.offsets)
 
 
-def runs(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all three-word runs inside rows, and the word each begins at."""
-    n = len(words) - GRAM + 1
+def runs(words: np.ndarray, first: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``gram`` words inside rows, and the word each begins at."""
+    n = len(words) - gram + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    step, _ = powers(_BASE, GRAM)
+    step, _ = powers(_BASE, gram)
     grams = np.zeros(n, dtype=np.uint64)
-    for j in range(GRAM):
+    for j in range(gram):
         grams += words[j : j + n] * step[j]
-    at = np.flatnonzero(np.arange(n) + GRAM <= np.repeat(first[1:], np.diff(first))[:n])
+    at = np.flatnonzero(np.arange(n) + gram <= np.repeat(first[1:], np.diff(first))[:n])
     return mix(grams[at]), at
 
 
-def winnowed(grams: np.ndarray) -> np.ndarray:
-    """Places of the runs that are the least of some ``WINNOW`` neighbours; all of them if there are fewer."""
-    if len(grams) <= WINNOW:
+def winnowed(grams: np.ndarray, window: int) -> np.ndarray:
+    """Places of the runs that are the least of some ``window`` neighbours; all of them if there are fewer."""
+    if len(grams) <= window:
         return np.arange(len(grams))
-    least = sliding_min(grams, WINNOW)
+    least = sliding_min(grams, window)
     kept = np.zeros(len(grams), dtype=bool)
-    for k in range(WINNOW):
+    for k in range(window):
         kept[k : k + len(least)] |= grams[k : k + len(least)] == least
     return np.flatnonzero(kept)
 
 
+def sure_run(m: int, coverage: float) -> int:
+    """Length of the longest unchanged run that is left at least of ``m`` words when ``coverage`` of them still match."""
+    matched = max(1, math.ceil(coverage * m - 1e-9))
+    return -(-matched // (m - matched + 1))
+
+
+class GramTable:
+    """Hashes of the templates' runs of one length: template and place of each."""
+
+    def __init__(self, hashes: np.ndarray, owner: np.ndarray, place: np.ndarray):
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.owner, self.place = hashes[order], owner[order], place[order]
+        self.seen = np.zeros(1 << 16, dtype=bool)
+        self.seen[(self.hashes >> np.uint64(48)).astype(np.int64)] = True
+
+    def hits(self, grams: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word, template and place in it of each hit."""
+        near = np.flatnonzero(self.seen[(grams >> np.uint64(48)).astype(np.int64)])
+        lo, hi = np.searchsorted(self.hashes, grams[near]), np.searchsorted(self.hashes, grams[near], "right")
+        size = hi - lo
+        entry = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return np.repeat(at[near], size), self.owner[entry], self.place[entry]
+
+
 class TemplateIndex:
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], coverage: float):
         self.names = list(templates)
         self.family = [next((i for i, names in enumerate(SIBLINGS) if n in names), -1) for n in self.names]
-        self.words, hashes, owner, place = [], [], [], []
+        self.words, found = [], {}
         for t, text in enumerate(templates.values()):
             raw = np.frombuffer(text.encode(), np.uint8)
             words, *_ = folded_words(TextBlock(raw, np.array([0, len(raw)]), 0))
-            grams, _ = runs(words, np.array([0, len(words)]))
-            at = winnowed(grams)
             self.words.append(words.tolist())
-            hashes.append(grams[at])
-            owner.append(np.full(len(at), t))
-            place.append(at)
-        order = np.argsort(all_hashes := np.concatenate(hashes), kind="stable")
-        self.hashes, self.owner, self.place = all_hashes[order], np.concatenate(owner)[order], np.concatenate(place)[order]
-        self.seen = np.zeros(1 << 16, dtype=bool)
-        self.seen[(self.hashes >> np.uint64(48)).astype(np.int64)] = True
+            sure = sure_run(len(words), coverage)
+            gram = min(GRAM, sure)
+            grams, _ = runs(words, np.array([0, len(words)]), gram)
+            at = winnowed(grams, min(WINNOW, sure - gram + 1))
+            found.setdefault(gram, []).append((grams[at], np.full(len(at), t), at))
+        self.tables = {gram: GramTable(*map(np.concatenate, zip(*parts, strict=True))) for gram, parts in found.items()}
 
     def band(self, t: int) -> int:
         return min(16, max(2, len(self.words[t]) // 4))
@@ -227,16 +249,11 @@ def _scan(batches: Iterator[pa.RecordBatch], index: TemplateIndex, coverage: flo
         row, name, start, end, matched, share = [], [], [], [], [], []
         for block in text_blocks(batch.column(1)):
             words, starts, ends, first = folded_words(block)
-            grams, at = runs(words, first)
-            near = np.flatnonzero(index.seen[(grams >> np.uint64(48)).astype(np.int64)])
-            lo, hi = np.searchsorted(index.hashes, grams[near]), np.searchsorted(index.hashes, grams[near], "right")
-            size = hi - lo
-            if not size.sum():
+            place, t, inside = map(np.concatenate, zip(*(table.hits(*runs(words, first, gram)) for gram, table in index.tables.items()), strict=True))
+            if not len(place):
                 continue
-            entry = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-            place, t = np.repeat(at[near], size), index.owner[entry]
             doc = np.searchsorted(first, place, "right") - 1
-            guess = place - index.place[entry]
+            guess = place - inside
             order = np.lexsort((guess, t, doc))
             last, found = None, []
             for d, own, g in zip(doc[order].tolist(), t[order].tolist(), guess[order].tolist(), strict=True):
@@ -268,5 +285,5 @@ def _scan(batches: Iterator[pa.RecordBatch], index: TemplateIndex, coverage: flo
 def find_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, license, start, end (code points), matched_words, coverage of each notice found."""
     prepare(docs.sparkSession)
-    index = TemplateIndex(TEMPLATES if templates is None else templates)
+    index = TemplateIndex(TEMPLATES if templates is None else templates, coverage)
     return docs.select("doc_id", "text").mapInArrow(partial(_scan, index=index, coverage=coverage), "doc_id long, license string, start long, end long, matched_words long, coverage double")

@@ -80,3 +80,19 @@ def test_op3_names_the_right_sibling(spark):
     for i, n in enumerate(names):
         assert found[i].get(n) == 1.0, n
         assert not any(n in s and m in s for s in op03_licenses.SIBLINGS for m in found[i] if m != n), n
+
+
+def test_op3_single_changed_words(spark):
+    """A word changed at any place leaves a template of five words or more above the coverage."""
+    rows = []
+    for n, text in op03_licenses.TEMPLATES.items():
+        words = text.split()
+        if 5 <= len(op03_licenses.TemplateIndex({n: text}, 0.8).words[0]) <= 60:
+            rows += [(n, " ".join(["before", *words[:i], "changed", *words[i + 1 :], "after"])) for i in range(len(words)) if sum(c.isalnum() for c in words[i]) and words[i].strip(".,()\"").isalnum()]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = {}
+    for r in op03_licenses.find_licenses(docs).collect():
+        found.setdefault(r.doc_id, set()).add(r.license)
+    for i, (n, text) in enumerate(rows):
+        alike = next((s for s in op03_licenses.SIBLINGS if n in s), {n})
+        assert found.get(i, set()) & alike, text
