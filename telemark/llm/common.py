@@ -2,7 +2,11 @@
 
 Scratch tables replace lineage by Parquet files in the folder that the cluster names in
 ``spark.checkpoint.dir``; a lost executor then costs a re-read and never a recomputation from
-unstable row order. Only where that setting is absent (tests, a laptop) a temporary folder is made.
+unstable row order. Only where that setting is absent and Spark runs in this process (tests, a laptop)
+a temporary folder is made; on a cluster its absence is an error.
+
+Scratch tables go when the interpreter ends, or earlier: ``drop_table`` removes one that is read no more, and
+``scratch_scope`` all those made inside it.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -20,8 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch. Whole texts travel in them, so the default of 10,000 would be large.
-ARROW_ROWS = 512
+#: Rows and bytes in an Arrow batch. Whole texts travel in them, so the default of 10,000 rows would be large.
+ARROW_ROWS, ARROW_BYTES = 512, 32 << 20
+#: Bytes of input that a task should sort at most.
+PARTITION_BYTES = 128 << 20
 #: Bytes of text worked on at a time; a longer single text still forms one block.
 BLOCK_BYTES = 1 << 19
 
@@ -44,18 +51,27 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Ship the package, and bound memory and disk: small Arrow batches, shuffle files dropped after each job."""
+    """Ship the package, and bound memory and disk: small Arrow batches, shuffle files dropped after each job.
+
+    The settings stay in the session, as the frames that operators return run later; where the session already
+    has smaller batches, those are kept.
+    """
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        have = spark.conf.get(key)
+        if not have.isdigit() or not 0 < int(have) <= most:
+            spark.conf.set(key, str(most))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``, or a folder of our own where that is unset."""
+    """The shared folder of ``spark.checkpoint.dir``, or a folder of our own where that is unset and all tasks run here."""
     global _own_scratch
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if _own_scratch is None:
         _own_scratch = "file://" + tempfile.mkdtemp(prefix="scratch-")
         spark.sparkContext.setCheckpointDir(_own_scratch)
@@ -75,13 +91,54 @@ def _drop_quietly(spark: SparkSession, path: str) -> None:
         pass
 
 
+_scopes: list[list[str]] = []
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a scratch table and read it back: the cut in the lineage."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_drop_quietly, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._scratch_path = path
+    return made
+
+
+def drop_table(df: DataFrame) -> None:
+    """Remove the scratch table that ``df`` reads, if it is one; no frame may need it any more."""
+    path = getattr(df, "_scratch_path", None)
+    if path:
+        drop_path(df.sparkSession, path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end; what is to stay must have been written elsewhere."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _drop_quietly(spark, path)
+
+
+def keep_table(df: DataFrame) -> DataFrame:
+    """Take a scratch table out of the innermost scope, so that it outlives it."""
+    path = getattr(df, "_scratch_path", None)
+    if _scopes and path in _scopes[-1]:
+        _scopes[-1].remove(path)
+        if len(_scopes) > 1:
+            _scopes[-2].append(path)
+    return df
+
+
+def partitions_for(df: DataFrame) -> int:
+    """How many partitions to sort ``df`` in: as many as shuffles have, more if its files are larger than those can hold."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-size // PARTITION_BYTES), 1 << 20))
 
 
 _kept: dict[str, object] = {}
@@ -163,37 +220,62 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-_BASE, _STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+#: Places in a word whose values are looked up; those of later places are computed.
+_PLACES = 64
+_VALUES = mix(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * _STEP)
+_HASHED_BYTES = 1 << 20
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n (base is odd)."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        n = max(n, BLOCK_BYTES + 1)
-        made = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(n, b, dtype=np.uint64)
-            p[0] = 1
-            made.append(np.cumprod(p, dtype=np.uint64))
-        have = made[0], made[1]
-        if n <= 4 * BLOCK_BYTES:
-            _powers[base] = have
-    return have
 
-
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
-    """Polynomial hashes modulo 2**64 of values[start:end], from one running sum."""
-    up, down = powers(base, len(values) + 1)
-    total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def _place_values(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    key = place * 256 + data
+    if len(place) == 0 or place.max() < _PLACES:
+        return _VALUES[key]
+    return mix((key.astype(np.uint64) + np.uint64(1)) * _STEP)
 
 
 def word_hashes(block: TextBlock, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(_BYTES[block.data], starts, ends)
+    """Tabulation hashes of data[start:end]: the sum of a pseudo-random value for each byte at its place in the word.
+
+    Words that differ anywhere differ in independent values, so no structure of a word makes it collide.
+    """
+    out = np.empty(len(starts), dtype=np.uint64)
+    size = ends - starts
+    until = np.cumsum(size)
+    at = 0
+    while at < len(starts):
+        before = int(until[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(until, before + _HASHED_BYTES, "right")))
+        if end == at + 1 and size[at] > _HASHED_BYTES:  # one huge word, piece by piece
+            total = 0
+            for s in range(0, int(size[at]), _HASHED_BYTES):
+                piece = block.data[starts[at] + s : min(starts[at] + s + _HASHED_BYTES, ends[at])]
+                total += int(mix((np.arange(s, s + len(piece), dtype=np.uint64) * np.uint64(256) + piece + np.uint64(1)) * _STEP).sum(dtype=np.uint64))
+            out[at] = total & ((1 << 64) - 1)
+        else:
+            own = size[at:end]
+            first = until[at:end] - own - before
+            place = np.arange(first[-1] + own[-1]) - np.repeat(first, own)
+            values = _place_values(block.data[np.repeat(starts[at:end], own) + place], place)
+            out[at:end] = np.add.reduceat(values, first)
+        at = end
+    return mix(out)
+
+
+def joined_words(block: TextBlock, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All words of a block with one space after each, and where each begins and ends there."""
+    size = ends - starts
+    after = np.cumsum(size + 1)
+    begin = after - size - 1
+    length = int(after[-1]) if len(after) else 0
+    whole = np.full(length, 0x20, dtype=np.uint8)
+    inside = np.ones(length, dtype=bool)
+    inside[after - 1] = False
+    edge = np.zeros(len(block.data) + 1, dtype=np.int8)
+    edge[starts] += 1
+    edge[ends] -= 1
+    whole[inside] = block.data[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]
+    return whole.tobytes(), begin, after - 1
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import drop_table, stage_table
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,5 +33,6 @@ def components(edges: DataFrame) -> DataFrame:
         mark = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         if mark == before or mark["n"] == 0:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = mark
+        before, last = mark, edges
         edges = stage_table(_small_star(_large_star(edges)), "edges")
+        drop_table(last)

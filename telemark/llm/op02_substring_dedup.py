@@ -6,21 +6,23 @@ nodes are the runs of one word less; a word goes if a window over it occurs anyw
 Edges are never shuffled one by one. In each window the anchor is the 8-word piece with the smallest
 hash, leftmost on ties, so equal windows have equal anchors at equal places. Consecutive windows with
 one anchor occurrence form a path (28 edges at most, so no path holds a window twice), and only paths
-travel: anchor, hash of all their words, source coordinates. Then, by joins:
+travel: anchor, digest of all their words, source coordinates. Then, by joins:
 
 1. An anchor that occurs once makes its whole path unique; it is dropped.
 2. Where all paths of an anchor are equal nothing branches: the compacted path counts as one unit.
 3. Elsewhere paths branch. Each distinct path (copies are counted beforehand, on the map side too) goes
-   back to one source coordinate, and the windows there are hashed and counted one by one under their
+   back to one source coordinate, and the words of each window there are digested and counted under their
    anchor. A path found twice is repeated whole; of the others a bit mask keeps the repeated windows.
 4. Paths and masks return to the coordinates of all occurrences, and texts drop the covered words.
 
-Windows compare by 128 bits (anchor and window hash). Hot anchors are combined before each shuffle,
+Spans are verified by the words themselves: paths and windows compare by keyed BLAKE2b digests of the words at
+their source coordinates, joined by spaces, under one anchor. No arithmetic of word hashes decides, so no
+repetitive or hostile text can collide; the anchors, which do come from such hashes, only gather spans. Hot anchors are combined before each shuffle,
 and the joins back are equi-joins that adaptive execution can split. No list outgrows its own text.
 
 Defined results. Null, empty or blank text: no words, nothing removed, hash of the empty string.
 Repeated rows: each counts, so their windows are repeated. Rows sharing a doc_id are told apart by
-text. Null doc_id: handled like any id. Empty table: no rows. Extra columns are ignored.
+text. Very long texts are read whole, a text at a time. Ties between anchors: the leftmost. Null doc_id: handled like any id. Empty table: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,39 +30,50 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import partial
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TextBlock, drop_worker_cache, keyed, mix, powers, prepare, sliding_min, span_hashes, stage_table, text_blocks, word_hashes, word_spans
+from .common import TextBlock, drop_worker_cache, joined_words, keyed, mix, prepare, sliding_min, stage_table, text_blocks, word_hashes, word_spans
 
 WINDOW, ANCHOR = 35, 8
 #: Words handled at once; positions take 24 bits beside 40 bits of hash.
 _CHUNK = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
-_PIECE_BASE = 0xA0761D6478BD642F
+_STEPS = mix(np.arange(1, ANCHOR + 1, dtype=np.uint64)) | np.uint64(1)
+_KEY = b"substring dedup"
 
 
-def block_words(block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a block, and where each row's words begin."""
-    starts, ends, first = word_spans(block)
-    return word_hashes(block, starts, ends), first
+class BlockWords:
+    """The words of a block: hashes for anchors, where each row's words begin, and their text for digests."""
 
+    def __init__(self, block: TextBlock):
+        starts, ends, self.first = word_spans(block)
+        self.hashes = word_hashes(block, starts, ends)
+        self.text, self.begin, self.end = joined_words(block, starts, ends)
 
-def paths(words: np.ndarray, first: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """Row, first window in the row, windows, anchor hash and path hash of each path."""
+    def digests(self, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """64 bits of the digest of ``count`` words from each word of ``begin`` on."""
+        text, digest = self.text, blake2b
+        cuts = zip(self.begin[begin].tolist(), self.end[begin + count - 1].tolist(), strict=True)
+        return np.frombuffer(b"".join([digest(text[a:b], digest_size=8, key=_KEY).digest() for a, b in cuts]), dtype=np.int64)
+
+
+def paths(block: BlockWords, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """Row, first window in the row, windows, anchor hash and digest of each path."""
     found = []
+    words, first = block.hashes, block.first
     ends = np.repeat(first[1:], np.diff(first))
     starts = np.repeat(first[:-1], np.diff(first))
     rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    step, _ = powers(_PIECE_BASE, anchor)
     for at in range(0, max(len(words) - window + 1, 0), _CHUNK):
         part = words[at : at + _CHUNK + window - 1]
         pieces = np.zeros(len(part) - anchor + 1, dtype=np.uint64)
         for j in range(anchor):
-            pieces += part[j : j + len(pieces)] * step[j]
+            pieces += part[j : j + len(pieces)] * _STEPS[j]
         pieces = mix(pieces)
         least = sliding_min((pieces & ~_PLACE) | np.arange(len(pieces), dtype=np.uint64), window - anchor + 1)
         inside = np.arange(at, at + len(least)) + window <= ends[at : at + len(least)]
@@ -71,8 +84,8 @@ def paths(words: np.ndarray, first: np.ndarray, window: int = WINDOW, anchor: in
             continue
         total = np.concatenate([[0], np.cumsum(inside)])
         n = np.diff(np.append(total[begin], total[-1]))
-        found.append((rows[at + begin], at + begin - starts[at + begin], n, pieces[(least[begin] & _PLACE).astype(np.int64)], span_hashes(part, begin, begin + n + window - 1)))
-    return tuple(map(np.concatenate, zip(*found, strict=True))) if found else tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        found.append((rows[at + begin], at + begin - starts[at + begin], n, pieces[(least[begin] & _PLACE).astype(np.int64)], block.digests(at + begin, n + window - 1)))
+    return tuple(map(np.concatenate, zip(*found, strict=True))) if found else tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64))
 
 
 def _find_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,10 +93,10 @@ def _find_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     drop_worker_cache()
     for batch in batches:
         for block in text_blocks(batch.column(2)):
-            row, p, n, anchor, path = paths(*block_words(block))
+            row, p, n, anchor, path = paths(BlockWords(block))
             row = pa.array(row + block.first)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(row), batch.column(1).take(row), pa.array(p.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(path.view(np.int64))],
+                [batch.column(0).take(row), batch.column(1).take(row), pa.array(p.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(path)],
                 names=["k1", "k2", "p", "n", "anchor", "path"],
             )
 
@@ -96,15 +109,15 @@ def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         p, n, anchor, path = (flat.field(k).to_numpy().astype(np.int64) for k in range(4))
         bounds = np.concatenate([[0], np.cumsum(size)])
         for block in text_blocks(batch.column(0)):
-            words, first = block_words(block)
+            words = BlockWords(block)
             own = slice(bounds[block.first], bounds[block.first + block.rows])
             row = np.repeat(np.arange(block.rows), size[block.first : block.first + block.rows])
             count = n[own]
             place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            begin = np.repeat(first[row] + p[own], count) + place
-            hashes = span_hashes(words, begin, begin + WINDOW)
+            begin = np.repeat(words.first[row] + p[own], count) + place
+            found = words.digests(begin, np.full(len(begin), WINDOW))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(anchor[own], count)), pa.array(np.repeat(path[own], count)), pa.array(place.astype(np.int32)), pa.array(hashes.view(np.int64))],
+                [pa.array(np.repeat(anchor[own], count)), pa.array(np.repeat(path[own], count)), pa.array(place.astype(np.int32)), pa.array(found)],
                 names=["anchor", "path", "place", "window"],
             )
 

@@ -3,21 +3,29 @@
 Templates and texts become lower-case alphanumeric words. The templates' hashes of up to
 three neighbouring words are winnowed (the smallest of some in a row is kept) into an inverted index, and
 every such hash of a text is looked up there. For each template run length and window are such that they
-fit the run of words that is left when as many words are changed as the coverage allows, so that it hits. Hits of one template whose estimated beginnings lie within a band make a candidate. Each is aligned word
-by word inside the band (local alignment: match 2, mismatch or gap -1) and reported if enough of the
-template matches.
+fit the run of words that is left when as many words are changed as the coverage allows, so that it hits.
+
+A hit tells where its template would begin. The hits of a template within its own length of that place make a
+candidate; its band is as wide as their beginnings differ (and some words more), so that words put into
+a notice, up to as many as it has, stay inside. Candidates whose words can't suffice are dropped by a count; the
+others are aligned word by word inside the band (local alignment: match 2, mismatch or gap -1) and reported
+if enough of the template matches. Then the words before and after are searched again, so that no word serves
+one template twice.
 
 The index holds templates only, a parameter whose size does not depend on the corpus, and travels
 with the task. Texts are read once, block by block, and nothing is shuffled.
 
-Defined results. Null or empty text: no rows. A notice found twice: two rows. A notice that contains
-another template: a row for each, but of
-sibling licences (versions, kinds of one family) on one span only the best covered. Repeated rows: equal rows. Empty table: no rows. Extra columns are ignored.
+Defined results. Null or empty text: no rows. Null doc_id: like any. Very long texts: read whole, a text at a time.
+A notice found twice: two rows, which don't overlap. A notice that contains another template: a row for each, but
+of sibling licences (versions, kinds of one family) on one span only the best covered; of equals the longer
+match, then the template listed first. Of equal alignments the leftmost. Repeated rows: equal rows. Empty table: no
+rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import partial
 
@@ -25,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import TextBlock, mix, powers, prepare, sliding_min, text_blocks, word_hashes
+from .common import TextBlock, mix, prepare, sliding_min, text_blocks, word_hashes
 
 # Public licence notices.
 _GNU = (
@@ -114,7 +122,7 @@ SIBLINGS = [
     {"EPL-1.0", "EPL-2.0"},
 ]
 GRAM, WINNOW, COVERAGE = 3, 3, 0.8
-_BASE = 0xC2B2AE3D27D4EB4F
+_STEPS = mix(np.arange(11, 11 + GRAM, dtype=np.uint64)) | np.uint64(1)
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _WORD = np.zeros(256, dtype=bool)
@@ -137,10 +145,9 @@ def runs(words: np.ndarray, first: np.ndarray, gram: int) -> tuple[np.ndarray, n
     n = len(words) - gram + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    step, _ = powers(_BASE, gram)
     grams = np.zeros(n, dtype=np.uint64)
     for j in range(gram):
-        grams += words[j : j + n] * step[j]
+        grams += words[j : j + n] * _STEPS[j]
     at = np.flatnonzero(np.arange(n) + gram <= np.repeat(first[1:], np.diff(first))[:n])
     return mix(grams[at]), at
 
@@ -196,26 +203,28 @@ class TemplateIndex:
             found.setdefault(gram, []).append((grams[at], np.full(len(at), t), at))
         self.tables = {gram: GramTable(*map(np.concatenate, zip(*parts, strict=True))) for gram, parts in found.items()}
 
-    def band(self, t: int) -> int:
+        self.sets = [set(w) for w in self.words]
+
+    def margin(self, t: int) -> int:
+        """Words by which an alignment may leave the beginnings that hits tell."""
         return min(16, max(2, len(self.words[t]) // 4))
 
 
-def align(template: list[int], words: list[int], band: int, lead: int = 0) -> tuple[int, int, int]:
-    """Matched words, and first and last place in ``words``, of the best local alignment; template word i meets places i - lead to i - lead + 2 * band."""
-    m, width = len(template), 2 * band + 1
-    rows = [[(0, 0, -1)] * (width + 1)]  # score, matches, first place; a column more on the right
+def align(template: list[int], words: list[int], low: int, width: int) -> tuple[int, int, int]:
+    """Matched words, and first and last place in ``words``, of the best local alignment; template word i meets places i + low to i + low + width - 1."""
+    above = [(0, 0, -1)] * (width + 1)  # score, matches, first place; a column more on the right
     best = (0, 0, -1, -1)
-    for i in range(m):
-        above, row, left = rows[-1], [], (0, 0, -1)
+    for i, own in enumerate(template):
+        row, left = [], (0, 0, -1)
         for j in range(width):
-            at = i + j - lead
+            at = i + j + low
             if not 0 <= at < len(words):
                 row.append((0, 0, -1))
                 left = (0, 0, -1)
                 continue
             # One template word on, a place stays in the same column when the text moves on too.
             s, n, f = above[j]
-            if words[at] == template[i]:
+            if words[at] == own:
                 cell = (s + 2, n + 1, f if f >= 0 else at)
                 if (cell[0], cell[1]) > best[:2]:
                     best = (cell[0], cell[1], cell[2], at)
@@ -226,10 +235,43 @@ def align(template: list[int], words: list[int], band: int, lead: int = 0) -> tu
             left = cell if cell[0] > 0 else (0, 0, -1)
             row.append(left)
         row.append((0, 0, -1))
-        rows = [row]
+        above = row
     return best[1], best[2], best[3]
 
 
+def notices(index: TemplateIndex, t: int, hits: list[tuple[int, int]], words: list[int], lo: int, hi: int, coverage: float) -> list[tuple[int, int, int]]:
+    """Matched words, first and last word of each notice of template ``t`` in words[lo:hi]; hits are (word, beginning), sorted."""
+    template, margin, m = index.words[t], index.margin(t), len(index.words[t])
+    need, found, failed = coverage * m - 1e-9, [], None
+    start = i = 0
+    while i < len(hits):
+        guess = hits[i][1]
+        i += 1
+        if failed is not None and abs(guess - failed) <= margin // 2:
+            continue
+        if lo <= guess and guess + m <= hi and words[guess : guess + m] == template:
+            n, f, e = m, guess, guess + m - 1
+        else:
+            begin, end = max(lo, guess - m), min(hi, guess + 2 * m)
+            piece = words[begin:end]
+            there = set(piece) & index.sets[t]
+            n = min(sum(w in there for w in template), sum(w in there for w in piece))
+            if n >= need:
+                near = hits[max(start, bisect_left(hits, (begin,))) : bisect_left(hits, (end,))]
+                guesses = [g for _, g in near if abs(g - guess) <= m]
+                low = min(guesses) - margin
+                n, f, e = align(template, piece, low - begin, max(guesses) + margin - low + 1)
+                f, e = f + begin, e + begin
+            if n < need:
+                failed = guess
+                continue
+        found += notices(index, t, hits[start : bisect_left(hits, (f,))], words, lo, f, coverage)
+        found.append((n, f, e))
+        lo, failed = e + 1, None
+        start = i = bisect_left(hits, (lo,))
+    return found
+
+
 def best_siblings(found: list[tuple[int, int, int, int, int]], index: TemplateIndex) -> list[tuple[int, int, int, int, int]]:
     """(row, template, matched words, first and last word) without those overlapping a sibling that is covered better; of equals the longer match, then the first template stays."""
     kept: list[tuple[int, int, int, int, int]] = []
@@ -253,20 +295,16 @@ def _scan(batches: Iterator[pa.RecordBatch], index: TemplateIndex, coverage: flo
             if not len(place):
                 continue
             doc = np.searchsorted(first, place, "right") - 1
-            guess = place - inside
-            order = np.lexsort((guess, t, doc))
-            last, found = None, []
-            for d, own, g in zip(doc[order].tolist(), t[order].tolist(), guess[order].tolist(), strict=True):
-                band = index.band(own)
-                if last and last[:2] == (d, own) and g - last[2] <= band:
-                    continue
-                last = (d, own, g)
-                lowest = g - band // 2
-                begin = max(int(first[d]), lowest)
-                piece = words[begin : min(int(first[d + 1]), lowest + len(index.words[own]) + 2 * band)].tolist()
-                n, f, e = align(index.words[own], piece, band, begin - lowest)
-                if n >= coverage * len(index.words[own]):
-                    found.append((d, own, n, begin + f, begin + e))
+            order = np.lexsort((inside, place, t, doc))
+            doc, t, place, guess = doc[order], t[order], place[order], (place - inside)[order]
+            cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(t) != 0)) + 1
+            found, last, text = [], -1, []
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(doc)], strict=True):
+                d, own, base = int(doc[a]), int(t[a]), int(first[doc[a]])
+                if d != last:
+                    last, text = d, words[base : first[d + 1]].tolist()
+                hits = list(zip((place[a:b] - base).tolist(), (guess[a:b] - base).tolist(), strict=True))
+                found += [(d, own, n, base + f, base + e) for n, f, e in notices(index, own, hits, text, 0, len(text), coverage)]
             for d, own, n, f, e in best_siblings(found, index):
                 base = block.offsets[d]
                 points = block.data[base : ends[e]] & 0xC0 != 0x80
