@@ -1,25 +1,33 @@
 """Operator 1: personal data by base rules and bootstrapped contextual extraction.
 
-Base rules find e-mail addresses, IP addresses, card and phone numbers in whole texts. They seed a
-bootstrap: each base match, and each other token that looks like an identifier (four digits or more,
-or an ``@``), is an instance; the one and the two words before it are its lexical patterns. Spark keeps
-the bipartite graph of patterns and instances (combined counts, equi-joins) and scores it in rounds: a
-pattern's score for a kind is the confidence of its distinct instances of that kind over that of all kinds
-and the number of its refused ones; an instance's confidence is the noisy-or of its accepted patterns.
-Unlabelled instances say nothing, as they are what a pattern is to find; refused are those that are of no
-kind (no ``@``, no three dots, and not the 7 to 19 digits of numbers of phones and cards). Patterns of ``SUPPORT`` confident instances and
-``ACCEPT`` score are accepted; they mark instances that no base rule knows and thereby feed the next round.
+Base rules find e-mail addresses, IP addresses, card and phone numbers in whole texts; a fifth kind, secrets, is
+seeded by public key formats and by quoted values assigned to names such as ``token``. These matches seed a
+bootstrap. Instances are the matches, the last word of matches of several words, and all other tokens that
+look like an identifier (four digits or more, or an ``@``). Lexical patterns of an instance are the one and the
+two words before it, the one and the two words after it, the words on either side together, and, for a number
+whose check digit holds, that form.
+
+Spark keeps the bipartite graph of patterns and distinct instances (combined counts, equi-joins) and scores it
+in rounds until a round accepts nothing new. A pattern's score for a kind is the confidence of its instances of
+that kind over that of all kinds and the number of its unlabelled instances that can't be of the kind; other
+unlabelled instances say nothing, as they are what a pattern is to find. What a token can be follows from
+its own form (``possible``). Patterns with ``SUPPORT`` confident instances and a score of ``ACCEPT`` are accepted and
+stay so. An instance's confidence for a kind is the noisy-or of its accepted patterns; the best kind wins, of
+equal ones the first listed. Marked occurrences become spans beside the base ones.
 
 Regular expressions are written so that each text is read in linear time. Texts travel once, into
-the scan; the graph holds identifiers only, and no list outgrows its own text.
+the scan; the graph holds identifiers and their neighbouring words only, words over ``LONGEST`` characters by
+their hash. No list outgrows its own text.
 
-Defined results. Null or empty text: no spans, hash of the empty string. Offsets count code points.
-Repeated rows: equal results; in the graph they count as one instance. Null doc_id: like any id. Empty
-table: no rows. Extra columns are ignored.
+Defined results. Null or empty text: no spans, hash of the empty string. Very long texts are read whole, a text at
+a time. Offsets count code points. Ties between patterns: equal scores, then the kind listed first. Repeated
+rows: equal results; in the graph they count as one instance. Null doc_id: like any id. Empty table: no rows.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import partial
@@ -29,16 +37,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_worker_cache, keyed, prepare, stage_table, text_blocks
+from .common import drop_table, drop_worker_cache, keyed, prepare, stage_table, text_blocks
 
-KINDS = ("email", "ip", "card", "phone")
-ROUNDS, SUPPORT, ACCEPT = 3, 5, 0.85
+KINDS = ("email", "ip", "card", "phone", "secret")
+#: Kinds that the base rules cover; secrets are reported in columns of their own.
+BASE_KINDS, SECRET = 4, 4
+SUPPORT, ACCEPT, LONGEST = 5, 0.85, 64
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]+")
+# Public formats of keys, and names that secrets are assigned to.
+_KEYS = re.compile(
+    r"(?<![A-Za-z0-9_-])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,72}|AIza[0-9A-Za-z_-]{35}|[sr]k_live_[A-Za-z0-9]{24,64})(?![A-Za-z0-9_-])"
+)
+_ASSIGNED = re.compile(r"""(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|private[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']([^\s"']{12,}+)["']""")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _TRIGGER = np.zeros(256, dtype=bool)
 _TRIGGER[[ord(c) for c in "0123456789@+"]] = True
@@ -82,16 +97,90 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _context(text: str, start: int, lead: str) -> list[str]:
-    """The one and the two words before; digits are made alike."""
-    words = re.sub(r"[0-9]", "0", f"{text[max(0, start - 80) : start]} {lead}").lower().split()[-2:]
-    return [" ".join(words[-k:]) for k in range(1, len(words) + 1)]
+def secret_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, place of secrets in KINDS, end) of keys in a public format and of quoted values given to a telling name; sorted, the first of overlapping ones."""
+    found = [(m.start(), m.end()) for m in _KEYS.finditer(text)]
+    for m in _ASSIGNED.finditer(text):
+        if any(c.isdigit() for c in m[1]) and any(c.isalpha() for c in m[1]):
+            found.append(m.span(1))
+    kept: list[tuple[int, int, int]] = []
+    for start, end in sorted(found):
+        if not kept or start >= kept[-1][2]:
+            kept.append((start, SECRET, end))
+    return kept
+
+
+def alike(word: str) -> str:
+    """A word as patterns spell it: lower case, digits as 0, long words by their hash."""
+    word = re.sub(r"[0-9]", "0", word.lower())
+    return word if len(word) <= LONGEST else hashlib.blake2b(word.encode(), digest_size=16).hexdigest()
+
+
+def _before(text: str, at: int) -> list[str]:
+    """The two words that end before ``at``, in their order."""
+    found: list[str] = []
+    while len(found) < 2:
+        while at > 0 and text[at - 1].isspace():
+            at -= 1
+        end = at
+        while at > 0 and not text[at - 1].isspace():
+            at -= 1
+        if at == end:
+            break
+        found.insert(0, alike(text[at:end]))
+    return found
+
+
+def _after(text: str, at: int) -> list[str]:
+    """The two words that begin after ``at``, the rest of a word there not counted."""
+    found: list[str] = []
+    while at < len(text) and not text[at].isspace():
+        at += 1
+    while len(found) < 2:
+        while at < len(text) and text[at].isspace():
+            at += 1
+        begin = at
+        while at < len(text) and not text[at].isspace():
+            at += 1
+        if at == begin:
+            break
+        found.append(alike(text[begin:at]))
+    return found
 
 
-def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
-    """(start, place in KINDS or -1, end, token, patterns) of base matches and of other identifier-like tokens."""
-    found = [(s, k, e, text[s:e].lower(), _context(text, s, "")) for s, k, e in base]
-    taken = iter(sorted((s, e) for s, _, e in base))
+def patterns(text: str, start: int, end: int) -> list[str]:
+    """The lexical patterns of text[start:end]."""
+    left, right, token = _before(text, start), _after(text, end), text[start:end]
+    found = ["< " + " ".join(left[-k:]) for k in range(1, len(left) + 1)] + ["> " + " ".join(right[:k]) for k in range(1, len(right) + 1)]
+    if left and right:
+        found.append(f"<> {left[-1]} {right[0]}")
+    if 12 <= len(token) <= 19 and token.isascii() and token.isdigit() and luhn(token):
+        found.append(f"# check digit {len(token)}")
+    return found
+
+
+def possible(token: str) -> int:
+    """What a token may be by its form, a bit for each kind."""
+    digits = sum("0" <= c <= "9" for c in token)
+    letters = sum(c.isalpha() for c in token)
+    local, at, host = token.partition("@")
+    email = bool(at and local and host)
+    ip = not at and not letters and token.count(".") == 3
+    card = not letters and 12 <= digits <= 19 and luhn("".join(c for c in token if "0" <= c <= "9"))
+    phone = not at and 7 <= digits <= 15 and letters <= 4 and token.count(".") != 3
+    secret = not at and len(token) >= 12 and letters >= 4 and digits >= 4
+    return email | ip << 1 | card << 2 | phone << 3 | secret << 4
+
+
+def instances(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, int, list[str]]]:
+    """(start, place in KINDS or -1, end, token, what it may be, patterns) of known matches and of other identifier-like tokens."""
+    found = []
+    for s, k, e in known:
+        found.append((s, k, e, named(text[s:e]), 1 << k, patterns(text, s, e)))
+        words = text[s:e].split()
+        if len(words) > 1:
+            found.append((e - len(words[-1]), k, e, named(words[-1]), 1 << k, patterns(text, e - len(words[-1]), e)))
+    taken = iter(sorted((s, e) for s, _, e in known))
     held, done = next(taken, None), 0
     for m in _MARK.finditer(text):
         if m.start() < done:
@@ -108,75 +197,91 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
             continue
         token = text[start:end]
         cut = max(token.rfind("=", 0, len(token) - 1), token.rfind(":", 0, len(token) - 1)) + 1
-        lead, token, start = token[:cut], token[cut:], start + cut
-        bare = token.strip("\"'()[]{}<>.,;:!?")
+        bare = token[cut:].strip("\"'()[]{}<>.,;:!?#$%&*")
         if bare and ("@" in bare or sum("0" <= c <= "9" for c in bare) >= 4):
-            start += token.index(bare)
-            found.append((start, -1, start + len(bare), bare.lower(), _context(text, start - len(token[: token.index(bare)]) - len(lead), lead)))
+            at = text.index(bare, start + cut)
+            found.append((at, -1, at + len(bare), named(bare), possible(bare), patterns(text, at, at + len(bare))))
     return found
 
 
+def named(token: str) -> str:
+    """An instance's name in the graph."""
+    token = token.lower()
+    return token if len(token) <= LONGEST else hashlib.blake2b(token.encode(), digest_size=16).hexdigest()
+
+
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-_SEEN = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("token", pa.string()), ("patterns", pa.list_(pa.string()))]))
+_SEEN = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("token", pa.string()), ("may", pa.int32()), ("patterns", pa.list_(pa.string()))]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, k1, k2, text) rows to (doc_id, k1, k2, base, seen)."""
+    """(doc_id, k1, k2, text) rows to (doc_id, k1, k2, known, seen)."""
     drop_worker_cache()
     for batch in batches:
-        base, seen = [], []
+        known, seen = [], []
         for block in text_blocks(batch.column(3)):
             marks = np.concatenate([[0], np.cumsum(_TRIGGER[block.data])])
             for i, any_mark in enumerate(np.diff(marks[block.offsets]).tolist()):
                 if not any_mark:
-                    base.append([])
+                    known.append([])
                     seen.append([])
                     continue
                 text = block.text(i).decode()
-                spans = base_spans(text)
-                base.append([dict(zip(("start", "kind", "end"), s, strict=True)) for s in spans])
-                seen.append([dict(zip(("start", "kind", "end", "token", "patterns"), s, strict=True)) for s in instances(text, spans)])
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(base, _SPANS), pa.array(seen, _SEEN)], names=["doc_id", "k1", "k2", "base", "seen"])
+                spans = sorted([*base_spans(text), *secret_spans(text)])
+                known.append([dict(zip(("start", "kind", "end"), s, strict=True)) for s in spans])
+                seen.append([dict(zip(("start", "kind", "end", "token", "may", "patterns"), s, strict=True)) for s in instances(text, spans)])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(known, _SPANS), pa.array(seen, _SEEN)], names=["doc_id", "k1", "k2", "known", "seen"])
 
 
 def accepted_patterns(edges: DataFrame) -> DataFrame:
-    """(pattern, token, kind or -1) edges, distinct, to (pattern, kind, score) after the last round."""
-    seeds = edges.groupBy("token").agg(F.max("kind").alias("kind")).filter("kind >= 0").withColumn("c", F.lit(1.0))
-    digits, dots = (F.length(F.regexp_replace("token", x, "")) for x in ("[^0-9]", "[^.]"))
-    refused = (F.col("kind") < 0) & ~F.col("token").contains("@") & ~digits.between(7, 19) & (dots < 3)
-    own = edges.groupBy("pattern", "token").agg(F.max("kind").alias("kind"))
-    degree = own.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if(refused).alias("against")).filter(F.col("n") >= SUPPORT).drop("n")
-    links = stage_table(edges.select("pattern", "token").distinct().join(degree, "pattern"), "pattern-links")
-    seeds = stage_table(seeds, "seeds")
-    sure, accepted = seeds, None
-    for round_ in range(ROUNDS):
-        rated = links.join(sure, "token").groupBy("pattern", "kind").agg(F.sum("c").alias("c"), F.first("against").alias("against"), F.sum((F.col("c") >= 0.5).cast("int")).alias("support"))
-        rated = rated.withColumn("score", F.col("c") / (F.sum("c").over(Window.partitionBy("pattern")) + F.col("against")))
-        accepted = stage_table(rated.filter((F.col("score") >= ACCEPT) & (F.col("support") >= SUPPORT)).select("pattern", "kind", "score"), "patterns")
-        if round_ == ROUNDS - 1 or accepted.isEmpty():
-            break
-        fresh = links.join(accepted, "pattern").join(seeds.select("token"), "token", "left_anti")
-        rated = fresh.groupBy("token", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.99)))))).alias("c"))
-        best = rated.groupBy("token").agg(F.max(F.struct("c", "kind")).alias("x")).select("token", "x.kind", "x.c")
+    """(pattern, token, kind or -1, may) edges, distinct, to (pattern, kind, score) at the fixed point."""
+    spark = edges.sparkSession
+    seeds = stage_table(edges.groupBy("token").agg(F.max("kind").alias("kind")).filter("kind >= 0").withColumn("c", F.lit(1.0)), "seeds")
+    # A seed counts as known under all its patterns, also where a rule missed it.
+    open_ = edges.join(seeds.select("token"), "token", "left_anti")
+    against = [F.count_if(F.col("may").bitwiseAND(F.lit(1 << k)) == 0).alias(f"a{k}") for k in range(len(KINDS))]
+    degree = edges.groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT).select("pattern")
+    refused = open_.groupBy("pattern").agg(*against)
+    known = degree.join(refused, "pattern", "left").select("pattern", F.array(*(F.coalesce(f"a{k}", F.lit(0)) for k in range(len(KINDS)))).alias("against"))
+    links = stage_table(edges.select("pattern", "token", "may").join(known, "pattern"), "pattern-links")
+    accepted, sure = spark.createDataFrame([], "pattern string, kind int, score double"), seeds
+    while True:
+        rated = links.join(sure, "token").groupBy("pattern", "kind").agg(
+            F.sum("c").alias("c"), F.first("against").alias("against"), F.count_if(F.col("c") >= 0.5).alias("support")
+        )
+        all_kinds = F.sum("c").over(Window.partitionBy("pattern"))
+        rated = rated.withColumn("score", F.round(F.col("c") / (all_kinds + F.element_at("against", F.col("kind") + 1)), 9))
+        good = rated.filter((F.col("score") >= ACCEPT) & (F.col("support") >= SUPPORT)).select("pattern", "kind", "score")
+        fresh = stage_table(good.join(accepted, ["pattern", "kind"], "left_anti"), "fresh-patterns")
+        if fresh.isEmpty():
+            return accepted
+        last = accepted, sure
+        accepted = stage_table(accepted.unionByName(fresh), "patterns")
+        marked = links.join(accepted, "pattern").filter(F.expr("may & shiftleft(1, kind) <> 0")).join(seeds.select("token"), "token", "left_anti")
+        rated = marked.groupBy("token", "kind").agg(F.round(1 - F.exp(F.sum(F.log(1 - F.least("score", F.lit(0.99))))), 9).alias("c"))
+        best = rated.groupBy("token").agg(F.max(F.struct("c", F.negate("kind").alias("k"))).alias("x")).select("token", (-F.col("x.k")).cast("int").alias("kind"), "x.c")
         sure = stage_table(seeds.unionByName(best), "confidence")
-    return accepted
+        drop_table(fresh)
+        drop_table(last[0])
+        if last[1] is not seeds:
+            drop_table(last[1])
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, k1, k2, base and spans (arrays of start, kind, end) for each row."""
+    """doc_id, k1, k2, base and spans (arrays of start, kind, end) for each row; spans hold the base ones, secrets and what patterns found."""
     prepare(docs.sparkSession)
     source = keyed(docs.select("doc_id", "text")).select("doc_id", "k1", "k2", "text")
-    base = "array<struct<start:int,kind:int,end:int>>"
-    scanned = stage_table(
-        source.mapInArrow(_scan, f"doc_id long, k1 long, k2 long, base {base}, seen array<struct<start:int,kind:int,end:int,token:string,patterns:array<string>>>"), "pii-scan"
-    )
-    occurrences = scanned.select("k1", "k2", F.explode("seen").alias("x")).select("k1", "k2", "x.start", "x.kind", "x.end", "x.token", F.explode("x.patterns").alias("pattern"))
-    accepted = accepted_patterns(occurrences.groupBy("pattern", "token").agg(F.max("kind").alias("kind")))
-    marked = occurrences.filter("kind < 0").drop("kind").join(accepted, "pattern")
+    span = "array<struct<start:int,kind:int,end:int>>"
+    shape = f"doc_id long, k1 long, k2 long, known {span}, seen array<struct<start:int,kind:int,end:int,token:string,may:int,patterns:array<string>>>"
+    scanned = stage_table(source.mapInArrow(_scan, shape), "pii-scan")
+    occurrences = scanned.select("k1", "k2", F.explode("seen").alias("x")).select("k1", "k2", "x.start", "x.kind", "x.end", "x.token", "x.may", F.explode("x.patterns").alias("pattern"))
+    edges = stage_table(occurrences.groupBy("pattern", "token").agg(F.max("kind").alias("kind"), F.max("may").alias("may")), "pattern-edges")
+    marked = occurrences.filter("kind < 0").drop("kind").join(accepted_patterns(edges), "pattern").filter(F.expr("may & shiftleft(1, kind) <> 0"))
     best = marked.groupBy("k1", "k2", "start", "end").agg(F.max(F.struct("score", F.negate("kind").alias("k"))).alias("x"))
     more = best.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", (-F.col("x.k")).cast("int").alias("kind"), "end")).alias("more"))
-    spans = F.array_sort(F.concat("base", F.coalesce("more", F.expr(f"cast(array() as {base})"))))
-    return scanned.drop("seen").join(more, ["k1", "k2"], "left").select("doc_id", "k1", "k2", "base", spans.alias("spans"))
+    spans = F.array_sort(F.concat("known", F.coalesce("more", F.expr(f"cast(array() as {span})"))))
+    base = F.expr(f"filter(known, x -> x.kind < {BASE_KINDS})")
+    return scanned.drop("seen").join(more, ["k1", "k2"], "left").select("doc_id", "k1", "k2", base.alias("base"), spans.alias("spans"))
 
 
 def spelled(spans: str) -> str:
@@ -185,9 +290,13 @@ def spelled(spans: str) -> str:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for each row of documents."""
-    counts = [F.expr(f"cast(size(filter(base, x -> x.kind = {i})) as bigint)").alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return find(docs).select("doc_id", *counts, F.sha2(F.expr(spelled("base")), 256).alias("base_sha256"), F.expr(spelled("spans")).alias("spans"))
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and, for secrets, n_secret and secret_spans for each row of documents."""
+    found = find(docs).withColumn("secrets", F.expr(f"filter(spans, x -> x.kind = {SECRET})")).withColumn("spans", F.expr(f"filter(spans, x -> x.kind < {BASE_KINDS})"))
+    counts = [F.expr(f"cast(size(filter(base, x -> x.kind = {i})) as bigint)").alias(f"n_{k}") for i, k in enumerate(KINDS[:BASE_KINDS])]
+    return found.select(
+        "doc_id", *counts, F.sha2(F.expr(spelled("base")), 256).alias("base_sha256"), F.expr(spelled("spans")).alias("spans"),
+        F.size("secrets").cast("long").alias("n_secret"), F.expr(spelled("secrets")).alias("secret_spans"),
+    )
 
 
 def redacted(text: str, spans: list[dict]) -> str:
