@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TextBlock, mix, prepare, stage_table, text_blocks, word_hashes, word_spans
+from .common import TextBlock, mix, partitions_for, prepare, stage_table, text_blocks, word_hashes, word_spans
 from .op07_simhash_dedup import bit_counts
 
 BITS, FADED_WORDS, RUN = 128, 64, 4
@@ -138,7 +138,8 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     tie = F.xxhash64("text")
-    dealt = docs.select("doc_id", "text").repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie)
+    source = docs.select("doc_id", "text")
+    dealt = source.repartitionByRange(partitions_for(source), F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie)
     found = stage_table(dealt.mapInArrow(_with_next, f"{_SHAPE}, part int, role string, text string"), "fingerprints")
     done = found.filter("role = 'done'").select(*_NAMES)
     parts = sorted(r["part"] for r in found.filter("role = 'head'").select("part").collect())
