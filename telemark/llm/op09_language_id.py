@@ -12,12 +12,13 @@ would be larger than ``max_table_mb``, as with tens of languages and scripts, ea
 what it has seen, and the distinct contexts of a window of text are looked up there: code lengths and
 orders are the same, scoring is slower.
 
-Learning uses a sample of bounded size a language, from every language: ``per_language`` documents, from
-each at most ``max_bytes`` characters at a place fixed by its hash. Rows
-without text, language or doc_id, and those of the held-out fold, teach nothing.
+Learning uses a sample of bounded size a language, from every language: the ``per_language`` documents that
+come first by a hash of doc_id, from each at most ``max_bytes`` characters at a place fixed by its hash. Equal
+rows count once, and no more than those documents reach the driver, whatever ids are repeated. Rows without
+text, language or doc_id, and those of the held-out fold, teach nothing.
 
 Defined results. Null or letterless text: ``und``, score 0. No learned language: ``und``, score 0.
-Ties: the smaller name. Equal rows: equal results. Empty table: no rows. Extra columns are ignored.
+Ties: the smaller name. Very long texts: read whole, a window at a time. Null doc_id: predicted like any. Equal rows: equal results. Empty table: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import in_fold, prepare, text_blocks, worker_cache
@@ -186,19 +187,18 @@ def learn(docs: DataFrame, per_language: int = 160, max_bytes: int = 8192, at_on
     length = F.length("text")
     sf = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (length > 0) & ~in_fold(F.col("doc_id"), FOLDS, HELD_OUT))
     found = sf.groupBy("lang").count().orderBy("lang").collect()
-    place = F.xxhash64("doc_id") % (1 << 20) / (1 << 20)
+    place = F.abs(F.xxhash64("doc_id") % (1 << 20)) / (1 << 20)
     begin = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(length - max_bytes + 1, F.lit(1))) + 1
+    first = Window.partitionBy("lang").orderBy("place", "doc_id", "h")
     samples: dict[str, list[bytes]] = {r["lang"]: [] for r in found}
     for i in range(0, len(found), at_once):
+        # A hash keeps few rows of large languages; the rank bounds what ids in many copies leave.
         share = F.create_map(*(F.lit(x) for r in found[i : i + at_once] for x in (r["lang"], min(1.0, 2.0 * per_language / r["count"]))))
-        picked = (
-            sf.filter(F.abs(place) < share[F.col("lang")])
-            .select("lang", F.abs(place).alias("place"), "doc_id", F.col("text").substr(begin.cast("int"), F.lit(max_bytes)).alias("piece"))
-            .collect()
-        )
-        for r in sorted(picked, key=lambda r: (r["place"], r["doc_id"])):
-            if len(samples[r["lang"]]) < per_language:
-                samples[r["lang"]].append(r["piece"].encode())
+        near = sf.filter(place < share[F.col("lang")]).select("lang", "doc_id", place.alias("place"), F.xxhash64("text").alias("h"), F.col("text").substr(begin.cast("int"), F.lit(max_bytes)).alias("piece"))
+        each = near.groupBy("lang", "doc_id", "place", "h").agg(F.min("piece").alias("piece"))
+        picked = each.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language).orderBy("lang", "rank").collect()
+        for r in picked:
+            samples[r["lang"]].append(r["piece"].encode())
     samples = {k: v for k, v in samples.items() if v}
     return Trees(samples) if samples else None
 
