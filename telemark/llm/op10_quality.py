@@ -5,11 +5,12 @@ as one table per tap, so inference is look-ups and sums). Filter outputs are max
 overlapping chunks of 256 positions, 192 apart, that cover the whole text; the mean, maximum and
 minimum over chunks and the log length go through one hidden layer to one probability.
 
-Learning: Adam on the driver over a bounded sample, ``per_class`` labelled documents of each class at
-most, from each at most ``max_bytes`` characters at a place fixed by its hash; classes keep their
-true weights, and short pieces of half the texts are added. Rows without text, doc_id or a 0/1 label, and those of the held-out fold, teach nothing.
+Learning: Adam on the driver over a bounded sample: of each class about ``per_class`` labelled documents by a
+hash of doc_id, twice as many at most whatever ids are repeated, from each at most ``max_bytes`` characters at a
+place fixed by its hash; classes keep their
+true weights, and short pieces of half the texts are added. Equal rows count once. Rows without text, doc_id or a 0/1 label, and those of the held-out fold, teach nothing.
 
-Defined results. Null or empty text: the score of a text without chunks. No labels at all: 0.5. Repeated
+Defined results. Null or empty text: the score of a text without chunks. Very long texts: all chunks, a text at a time. No labels at all: 0.5. Repeated
 rows: equal scores. A doc_id labelled twice teaches with each label. Empty table: no rows. Extra
 columns are ignored.
 """
@@ -22,7 +23,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import in_fold, prepare, text_blocks
@@ -204,17 +205,20 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 900, max_bytes: i
         return None
     place = F.abs(F.xxhash64("doc_id") % (1 << 20)) / (1 << 20)
     share = F.create_map(*(F.lit(x) for q, n in counts.items() for x in (q, min(1.0, per_class / n))))
-    # 2 * per_class rows are expected here: a size that does not depend on the corpus, so it may be broadcast.
-    picked = usable.filter(place < share[F.col("quality")])
+    # The hash keeps about per_class ids of each class; the rank is the proven bound of what is broadcast and of what is collected.
+    rank = F.row_number().over(Window.partitionBy("quality").orderBy("place", "doc_id", "h"))
+    near = usable.filter(place < share[F.col("quality")]).distinct().withColumn("place", place)
+    picked = near.withColumn("h", F.lit(0)).withColumn("rank", rank).filter(F.col("rank") <= 2 * per_class).select("doc_id", "quality", "place")
     length = F.length("text")
     begin = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(length - max_bytes + 1, F.lit(1))) + 1
-    rows = (
+    pieces = (
         docs.select("doc_id", "text")
         .filter(F.col("text").isNotNull())
         .join(F.broadcast(picked), "doc_id")
-        .select("doc_id", "quality", F.col("text").substr(begin.cast("int"), F.lit(max_bytes)).alias("piece"))
-        .collect()
+        .groupBy("quality", "place", "doc_id", F.xxhash64("text").alias("h"))
+        .agg(F.min(F.col("text").substr(begin.cast("int"), F.lit(max_bytes))).alias("piece"))
     )
+    rows = pieces.withColumn("rank", rank).filter(F.col("rank") <= 2 * per_class).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["piece"]))
