@@ -1,16 +1,19 @@
 """Operator 4: nearest neighbours by an inverted file with product-quantised residuals.
 
-Coarse centroids (k-means) make the cells; a vector's residual to its centroid is coded by one of 256
-sub-centroids in each of eight groups of dimensions. A query visits its nearest cells, ranks their
+Coarse centroids (k-means) make the cells. Where cells would hold more than ``LIST`` vectors on average, each is
+divided by the nearest of a set of residual centroids that all cells share, so the number of lists grows with the
+table although centroids come from a sample. A vector's residual to its list's centre is coded by one of 256
+sub-centroids in each of sixteen groups of dimensions. A query visits its nearest lists, ranks their
 codes by asymmetric distance tables and reranks the best ``RERANK`` of each block by exact distances.
 
 Learning uses a bounded sample: distinct vectors by hash, ``SAMPLE`` at most and ``SAMPLE_BYTES`` at most. From it come centroids,
-codebooks and the number of cells to probe (the fewest that reach ``RECALL`` on the sample itself, whose
-neighbours lie further apart than those of all vectors). Every vector is indexed.
+codebooks and the number of cells and lists to visit (the fewest that reach ``RECALL`` on the sample itself, whose
+neighbours lie further apart than those of all vectors). Every vector is indexed. Queries whose lists
+hold too few vectors visit all lists in a second search.
 
 Equal vectors are collapsed first and keep their 11 smallest ids, which is all that ten neighbours of
-any query can need; equal query vectors are searched once. Cells are dealt into blocks of ``BLOCK``
-vectors by ``BLOCK`` queries at most, so one dense cell never meets in one task, and a block sends out
+any query can need; equal query vectors are searched once. Lists are dealt into blocks of ``BLOCK``
+vectors by ``BLOCK`` queries or so, so one dense list never meets in one task, and a block sends out
 11 neighbours per query.
 
 Defined results. Null, zero and differently long vectors and those with null or non-finite components
@@ -32,8 +35,10 @@ from pyspark.sql import functions as F
 from .common import prepare, stage_table
 
 NEAREST, STEP = 10, 100
-SAMPLE, SAMPLE_BYTES, MAX_CELLS, GROUPS, CODES = 32_768, 32 << 20, 2_048, 8, 256
-RERANK, BLOCK, RECALL = 96, 8_192, 0.98
+SAMPLE, SAMPLE_BYTES, PER_CENTROID, GROUPS, CODES = 32_768, 32 << 20, 16, 16, 256
+LIST, RERANK, BLOCK, RECALL = 1_024, 32, 8_192, 0.98
+#: Query and vector pairs whose rough distances are held at once.
+_PAIRS = 1 << 20
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
@@ -63,40 +68,77 @@ def nearest(x: np.ndarray, centers: np.ndarray, k: int) -> np.ndarray:
 
 
 class Index:
-    """Centroids, codebooks and probes, learned from a sample."""
-
-    def __init__(self, sample: np.ndarray, total: int):
-        self.cells = kmeans(sample, max(1, min(MAX_CELLS, int(total**0.5), len(sample) // 16)))
-        near = nearest(sample, self.cells, 1)[:, 0]
-        residuals = sample - self.cells[near]
-        self.parts = [p for p in np.array_split(np.arange(sample.shape[1]), min(GROUPS, sample.shape[1])) if len(p)]
-        self.books = [kmeans(residuals[:, p], min(CODES, len(sample)), 8) for p in self.parts]
-        self.probes = self._probes(sample, near)
-
-    def _probes(self, sample: np.ndarray, cell: np.ndarray) -> int:
-        """Fewest cells that hold ``RECALL`` of the true neighbours of 200 sampled queries, and 11 vectors in any case."""
-        picked = np.linspace(0, len(sample) - 1, min(200, len(sample))).astype(int)
-        order = nearest(sample[picked], self.cells, len(self.cells))
+    """Centroids, shared residual centroids, codebooks and numbers to visit, learned from a sample of ``total`` vectors."""
+
+    def __init__(self, sample: np.ndarray, total: int, list_size: int = LIST):
+        most = max(1, len(sample) // PER_CENTROID)
+        self.cells = kmeans(sample, max(1, min(int(total**0.5), most)))
+        cell = nearest(sample, self.cells, 1)[:, 0]
+        residuals = sample - self.cells[cell]
+        parts = min(most, -(-total // (len(self.cells) * list_size)))
+        self.subs = kmeans(residuals, parts, 8) if parts > 1 else np.zeros((1, sample.shape[1]))
+        sub = nearest(residuals, self.subs, 1)[:, 0]
+        residuals = residuals - self.subs[sub]
+        self.groups = [p for p in np.array_split(np.arange(sample.shape[1]), min(GROUPS, sample.shape[1])) if len(p)]
+        self.books = [kmeans(residuals[:, p], min(CODES, len(sample)), 8) for p in self.groups]
+        self._calibrate(sample, cell, cell * len(self.subs) + sub)
+
+    def centre(self, number: np.ndarray | int) -> np.ndarray:
+        return self.cells[number // len(self.subs)] + self.subs[number % len(self.subs)]
+
+    def _calibrate(self, sample: np.ndarray, cell: np.ndarray, number: np.ndarray) -> None:
+        """Fewest cells, and lists in them, that hold ``RECALL`` of the true neighbours of 200 sampled queries."""
+        asked = sample[np.linspace(0, len(sample) - 1, min(200, len(sample))).astype(int)]
+        true = nearest(asked, sample, min(NEAREST + 1, len(sample)))
+        self.visited_cells, self.visited_lists = len(self.cells), len(self.cells) * len(self.subs)
+        order = nearest(asked, self.cells, len(self.cells))
         rank = np.empty_like(order)
-        np.put_along_axis(rank, order, np.arange(len(self.cells))[None, :].repeat(len(picked), 0), 1)
-        k = min(NEAREST + 1, len(sample))
-        true = nearest(sample[picked], sample, k)
+        np.put_along_axis(rank, order, np.arange(len(self.cells))[None, :].repeat(len(asked), 0), 1)
         needed = np.sort(np.take_along_axis(rank, cell[true], 1).ravel())
-        enough = int(needed[min(len(needed) - 1, int(RECALL * len(needed)))]) + 1
-        sizes = np.cumsum(np.sort(np.bincount(cell, minlength=len(self.cells))))
-        return min(len(self.cells), max(enough, int(np.searchsorted(sizes, NEAREST + 1)) + 1))
+        reached = lambda x, share: int(x[min(len(x) - 1, int(share * len(x)))]) + 1
+        if len(self.subs) == 1:
+            self.visited_cells = self.visited_lists = reached(needed, RECALL)
+            return
+        self.visited_cells = reached(needed, (1 + RECALL) / 2)
+        needed = []
+        for q, own in zip(asked, number[true], strict=True):
+            listed = self.lists(q[None, :])[0]
+            place = {v: i for i, v in enumerate(listed.tolist())}
+            needed += [place.get(v, len(listed) - 1) for v in own.tolist()]
+        self.visited_lists = reached(np.sort(needed), RECALL)
+
+    def lists(self, x: np.ndarray) -> np.ndarray:
+        """Numbers of the lists that each row visits, nearest first."""
+        cells = nearest(x, self.cells, self.visited_cells)
+        n = len(self.subs)
+        if n == 1:
+            return cells
+        out = np.empty((len(x), min(self.visited_lists, cells.shape[1] * n)), dtype=np.int64)
+        norms = (self.subs**2).sum(1)
+        for i, own in enumerate(cells):
+            away = x[i] - self.cells[own]
+            d = ((away**2).sum(1)[:, None] - 2 * away @ self.subs.T + norms).ravel()
+            k = out.shape[1]
+            picked = np.argpartition(d, k - 1)[:k] if k < len(d) else np.arange(len(d))
+            picked = picked[d[picked].argsort(kind="stable")]
+            out[i] = own[picked // n] * n + picked % n
+        return out
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """List and code of each row."""
         cell = nearest(x, self.cells, 1)[:, 0]
         residuals = x - self.cells[cell]
-        return cell, np.stack([nearest(residuals[:, p], b, 1)[:, 0] for p, b in zip(self.parts, self.books, strict=True)], axis=1).astype(np.uint8)
-
-    def tables(self, query: np.ndarray, cell: int) -> np.ndarray:
-        """Squared distance of the query's residual to each code of each group."""
-        r = query - self.cells[cell]
-        out = np.full((len(self.parts), CODES), np.inf)
-        for j, (p, b) in enumerate(zip(self.parts, self.books, strict=True)):
-            out[j, : len(b)] = ((b - r[p]) ** 2).sum(1)
+        sub = nearest(residuals, self.subs, 1)[:, 0]
+        residuals -= self.subs[sub]
+        return cell * len(self.subs) + sub, np.stack([nearest(residuals[:, p], b, 1)[:, 0] for p, b in zip(self.groups, self.books, strict=True)], axis=1).astype(np.uint8)
+
+    def rough(self, queries: np.ndarray, number: int, codes: np.ndarray) -> np.ndarray:
+        """Asymmetric squared distances [query, code] under one list: a table look-up for each group of dimensions."""
+        away = queries - self.centre(number)
+        out = np.zeros((len(queries), len(codes)), dtype=np.float32)
+        for j, (p, b) in enumerate(zip(self.groups, self.books, strict=True)):
+            table = ((away[:, p] ** 2).sum(1)[:, None] - 2 * away[:, p] @ b.T + (b**2).sum(1)).astype(np.float32)
+            out += table[:, codes[:, j]]
         return out
 
 
@@ -107,20 +149,25 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _encode(batches, index: Broadcast):
-    """(embedding, ids) rows with cell and code."""
+    """(embedding, ids, least) rows with list and code."""
     for batch in batches:
         if batch.num_rows:
-            cell, code = index.value.encode(matrix(batch.column(0)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary())], names=[*batch.schema.names, "cell", "code"])
+            number, code = index.value.encode(matrix(batch.column(0)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number), pa.array([c.tobytes() for c in code], pa.binary())], names=[*batch.schema.names, "list", "code"])
 
 
-def _probe(batches, index: Broadcast):
-    """(h1, h2, embedding) rows, one for each cell to visit."""
+def _probe(batches, index: Broadcast, everywhere: bool):
+    """(h1, h2, embedding) rows, one for each list to visit."""
+    own = index.value
     for batch in batches:
-        if batch.num_rows:
-            cells = nearest(matrix(batch.column(2)), index.value.cells, index.value.probes)
-            row = pa.array(np.repeat(np.arange(batch.num_rows), cells.shape[1]))
-            yield pa.RecordBatch.from_arrays([*(c.take(row) for c in batch.columns), pa.array(cells.ravel().astype(np.int32))], names=[*batch.schema.names, "cell"])
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            if everywhere:
+                numbers = np.tile(np.arange(len(own.cells) * len(own.subs)), (part.num_rows, 1))
+            else:
+                numbers = own.lists(matrix(part.column(2)))
+            row = pa.array(np.repeat(np.arange(part.num_rows), numbers.shape[1]))
+            yield pa.RecordBatch.from_arrays([*(c.take(row) for c in part.columns), pa.array(numbers.ravel())], names=[*part.schema.names, "list"])
 
 
 _FOUND = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("score", pa.float64()), ("least", pa.int64()), ("ids", pa.list_(pa.int64()))])
@@ -130,25 +177,25 @@ def _search(queries: pa.Table, block: pa.Table, index: Broadcast) -> pa.Table:
     """The 11 nearest vectors in this block for each query: codes rank, original vectors decide."""
     if queries.num_rows == 0 or block.num_rows == 0:
         return _FOUND.empty_table()
-    own, cell = index.value, block["cell"][0].as_py()
-    codes = np.frombuffer(b"".join(block["code"].to_pylist()), np.uint8).reshape(block.num_rows, -1)
-    vectors, asked = matrix(block["embedding"]), matrix(queries["embedding"])
-    least = block["least"].to_numpy()
+    own, number, size = index.value, block["list"][0].as_py(), block.num_rows
+    codes = np.frombuffer(b"".join(block["code"].to_pylist()), np.uint8).reshape(size, -1)
+    vectors, asked, least = matrix(block["embedding"]), matrix(queries["embedding"]), block["least"].to_numpy()
+    order = least.argsort(kind="stable")  # so that a stable sort by distance breaks ties by id
+    codes, vectors = codes[order], vectors[order]
     rows, picks, scores = [], [], []
-    for i, q in enumerate(asked):
-        picked = np.arange(len(codes))
-        if len(codes) > RERANK:
-            table = own.tables(q, cell)
-            rough = table[0][codes[:, 0]]
-            for j in range(1, codes.shape[1]):
-                rough = rough + table[j][codes[:, j]]
-            picked = np.argpartition(rough, RERANK)[:RERANK]
-        exact = np.sqrt(((vectors[picked] - q) ** 2).sum(1))
-        best = np.lexsort((least[picked], exact))[: NEAREST + 1]
-        rows += [i] * len(best)
-        picks.append(picked[best])
-        scores.append(exact[best])
-    rows, picks = pa.array(rows, pa.int64()), pa.array(np.concatenate(picks))
+    step = max(1, _PAIRS // max(size, RERANK * vectors.shape[1]))
+    for at in range(0, len(asked), step):
+        q = asked[at : at + step]
+        if size > RERANK:
+            picked = np.sort(np.argpartition(own.rough(q, number, codes), RERANK - 1, axis=1)[:, :RERANK], axis=1)
+        else:
+            picked = np.tile(np.arange(size), (len(q), 1))
+        exact = np.sqrt(((vectors[picked] - q[:, None, :]) ** 2).sum(2))
+        best = exact.argsort(axis=1, kind="stable")[:, : NEAREST + 1]
+        rows.append(np.repeat(np.arange(at, at + len(q)), best.shape[1]))
+        picks.append(order[np.take_along_axis(picked, best, 1)].ravel())
+        scores.append(np.take_along_axis(exact, best, 1).ravel())
+    rows, picks = pa.array(np.concatenate(rows)), pa.array(np.concatenate(picks))
     return pa.Table.from_arrays([queries["h1"].take(rows), queries["h2"].take(rows), pa.array(np.concatenate(scores)), block["least"].take(picks), block["ids"].take(picks)], schema=_FOUND)
 
 
@@ -160,8 +207,24 @@ def valid_vectors(df: DataFrame) -> DataFrame:
     return rows.filter(F.size("embedding") == (size["d"] if size else -1))
 
 
-def nearest_vectors(df: DataFrame) -> DataFrame:
-    """query_id, rank, vec_id, score: the nearest vectors of each row whose vec_id is divisible by ``STEP``."""
+def search(asked: DataFrame, coded: DataFrame, index: Broadcast, everywhere: bool = False) -> DataFrame:
+    """(h1, h2, embedding) queries against coded vectors: (h1, h2, score, least, ids) of the 11 nearest vectors found."""
+    kind = dict(asked.dtypes)["embedding"]
+    probes = stage_table(asked.mapInArrow(partial(_probe, index=index, everywhere=everywhere), f"h1 long, h2 long, embedding {kind}, list long"), "probes")
+    # Lists that are dealt into several blocks, on either side: no more rows than such blocks, so mostly none.
+    dealt = lambda d, name: d.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name)).filter(F.col(name) > 1)
+    blocks = stage_table(dealt(coded, "vectors").join(dealt(probes, "queries"), "list", "full"), "blocks")
+    vectors, queries = (F.coalesce(c, F.lit(1)) for c in ("vectors", "queries"))
+    left = probes.join(blocks, "list", "left").select("h1", "h2", "embedding", "list", F.pmod("h1", queries).cast("int").alias("qb"), F.explode(F.sequence(F.lit(0), vectors - 1)).alias("vb"))
+    right = coded.join(blocks, "list", "left").select(*coded.columns, F.pmod(F.xxhash64("embedding"), vectors).cast("int").alias("vb"), F.explode(F.sequence(F.lit(0), queries - 1)).alias("qb"))
+    keys = ["list", "vb", "qb"]
+    meet = lambda a, b: _search(a, b, index)
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "h1 long, h2 long, score double, least long, ids array<long>")
+    return found.withColumn("n", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("score", "least"))).filter(F.col("n") <= NEAREST + 1).drop("n")
+
+
+def nearest_vectors(df: DataFrame, step: int = STEP, list_size: int = LIST) -> DataFrame:
+    """query_id, rank, vec_id, score: the nearest vectors of each row whose vec_id is divisible by ``step``."""
     spark = df.sparkSession
     prepare(spark)
     rows = stage_table(valid_vectors(df), "vectors")
@@ -178,24 +241,18 @@ def nearest_vectors(df: DataFrame) -> DataFrame:
     sample = distinct.filter(place < min(1.0, 0.9 * most / total)).select("embedding").limit(most).toArrow()
     sample = matrix((sample if sample.num_rows else first)["embedding"])
     sample = sample[np.lexsort(sample.T)]  # file order must not matter
-    index = spark.sparkContext.broadcast(Index(sample, total))
+    index = spark.sparkContext.broadcast(Index(sample, total, list_size))
 
-    shape = f"embedding {kind}, ids array<long>, least long"
-    coded = stage_table(distinct.select("embedding", "ids", "least").mapInArrow(partial(_encode, index=index), f"{shape}, cell int, code binary"), "codes")
+    shape = f"embedding {kind}, ids array<long>, least long, list long, code binary"
+    coded = stage_table(distinct.select("embedding", "ids", "least").mapInArrow(partial(_encode, index=index), shape), "codes")
     hashes = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding").alias("h2")]
-    asked = rows.filter(F.col("vec_id") % STEP == 0)
-    probes = stage_table(asked.select(*hashes, "embedding").dropDuplicates(["h1", "h2"]).mapInArrow(partial(_probe, index=index), f"h1 long, h2 long, embedding {kind}, cell int"), "probes")
-
-    # How many blocks each cell is dealt into, on either side: a row for each cell at most.
-    by_cell = lambda d: {r["cell"]: -(-r["count"] // BLOCK) for r in d.groupBy("cell").count().collect()}
-    vector_blocks, query_blocks = by_cell(coded), by_cell(probes)
-    spread = lambda blocks: F.coalesce(F.create_map(*(F.lit(x) for kv in (blocks or {-1: 1}).items() for x in kv))[F.col("cell")], F.lit(1))
-    left = probes.withColumn("qb", F.pmod("h1", spread(query_blocks)).cast("int")).withColumn("vb", F.explode(F.sequence(F.lit(0), spread(vector_blocks) - 1)))
-    right = coded.withColumn("vb", F.pmod(F.xxhash64("embedding"), spread(vector_blocks)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), spread(query_blocks) - 1)))
-    keys = ["cell", "vb", "qb"]
-    search = lambda a, b: _search(a, b, index)
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "h1 long, h2 long, score double, least long, ids array<long>")
-    best = found.withColumn("n", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("score", "least"))).filter(F.col("n") <= NEAREST + 1)
-    each = asked.select(F.col("vec_id").alias("query_id"), *hashes).join(best, ["h1", "h2"]).select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
+    wanted = rows.filter(F.col("vec_id") % step == 0)
+    asked = wanted.select(*hashes, "embedding").dropDuplicates(["h1", "h2"])
+    found = stage_table(search(asked, coded, index), "nearest")
+    enough = found.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter(F.col("n") >= min(NEAREST + 1, total)).select("h1", "h2")
+    short = stage_table(asked.join(enough, ["h1", "h2"], "left_anti"), "short")
+    if not short.isEmpty():
+        found = found.join(enough, ["h1", "h2"], "left_semi").union(search(short, coded, index, everywhere=True))
+    each = wanted.select(F.col("vec_id").alias("query_id"), *hashes).join(found, ["h1", "h2"]).select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return each.withColumn("rank", rank).filter(F.col("rank") <= NEAREST).select("query_id", "rank", "vec_id", "score")
