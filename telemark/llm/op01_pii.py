@@ -117,8 +117,10 @@ def alike(word: str) -> str:
 
 
 def _before(text: str, at: int) -> list[str]:
-    """The two words that end before ``at``, in their order."""
+    """The two words that end before ``at``, in their order; quotes and brackets that open there don't count."""
     found: list[str] = []
+    while at > 0 and text[at - 1] in "\"'([{<":
+        at -= 1
     while len(found) < 2:
         while at > 0 and text[at - 1].isspace():
             at -= 1

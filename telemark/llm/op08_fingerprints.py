@@ -12,10 +12,13 @@ row of each partition meet the partition before by a join on partition numbers,
 (one per partition) reach the driver.
 
 ``within`` cuts fingerprints into radius + 1 blocks; two within the radius agree on one block at least,
-so a table per block, keyed by that block first, finds every pair, and bit counts verify it.
+so a table per block, keyed by that block first, finds every pair, and bit counts verify it. It works on
+distinct fingerprints: the pairs it gives are between fingerprints, and ``members`` tells whose they are, so copies
+are never expanded. A pair comes out of the first block that it agrees on only, which needs no removal of doubles.
 
 Defined results. Null or empty text: fingerprint zero. Equal texts: equal fingerprints. A single row is
-its own next. Repeated rows follow each other. Empty table: no rows. Extra columns are ignored.
+its own next. Very long texts: read whole, a text at a time. Null doc_id: comes first. Ties: by the text's hash.
+Repeated rows follow each other. Empty table: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -151,21 +154,30 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return done.union(last.mapInArrow(_close, _SHAPE))
 
 
-def within(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
-    """(id, hi, lo) rows and such queries to (query_id, id, distance): every pair of at most ``radius`` differing bits."""
-    blocks, width = radius + 1, BITS // (radius + 1)
-    cut = [(k * width, BITS if k == radius else (k + 1) * width) for k in range(blocks)]
+def members(prints: DataFrame) -> DataFrame:
+    """(id, hi, lo) rows to the representative of each: the smallest id with the same fingerprint."""
+    first = prints.groupBy("hi", "lo").agg(F.min("id").alias("representative"))
+    return prints.join(first, ["hi", "lo"]).select("id", "representative")
+
 
-    def signed(x: int) -> int:
-        return x - (1 << 64) if x >> 63 else x
+def within(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
+    """(id, hi, lo) rows and such queries to (query_id, id, distance) for every two representatives, of queries and of prints, at most ``radius`` bits apart."""
+    width = BITS // (radius + 1)
+    cut = [(k * width, BITS if k == radius else (k + 1) * width) for k in range(radius + 1)]
+    masks = [((1 << (hi - lo)) - 1) << lo for lo, hi in cut]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    block = lambda hi, lo, m: (F.col(hi).bitwiseAND(F.lit(signed(m >> 64))), F.col(lo).bitwiseAND(F.lit(signed(m & ((1 << 64) - 1)))))
 
     def tables(df: DataFrame, name: str) -> DataFrame:
-        masks = [((1 << (hi - lo)) - 1) << lo for lo, hi in cut]
-        keys = F.array(
-            *(F.struct(F.lit(t).alias("t"), F.col("hi").bitwiseAND(F.lit(signed(m >> 64))).alias("a"), F.col("lo").bitwiseAND(F.lit(signed(m & ((1 << 64) - 1)))).alias("b")) for t, m in enumerate(masks))
-        )
-        return df.select(F.col("id").alias(name), F.col("hi").alias(f"{name}_hi"), F.col("lo").alias(f"{name}_lo"), F.explode(keys).alias("x")).select("x.*", name, f"{name}_hi", f"{name}_lo")
+        distinct = df.groupBy(F.col("hi").alias(f"{name}_hi"), F.col("lo").alias(f"{name}_lo")).agg(F.min("id").alias(name))
+        keys = [F.struct(F.lit(t).alias("t"), *(c.alias(n) for c, n in zip(block(f"{name}_hi", f"{name}_lo", m), "ab", strict=True))) for t, m in enumerate(masks)]
+        return distinct.select("*", F.explode(F.array(*keys)).alias("x")).select(name, f"{name}_hi", f"{name}_lo", "x.*")
 
     both = tables(prints, "id").join(tables(queries, "query_id"), ["t", "a", "b"])
-    distance = F.bit_count(F.col("id_hi").bitwiseXOR(F.col("query_id_hi"))) + F.bit_count(F.col("id_lo").bitwiseXOR(F.col("query_id_lo")))
-    return both.select("query_id", "id", distance.alias("distance")).filter(F.col("distance") <= radius).distinct()
+    differ = both.select("query_id", "id", "t", F.col("id_hi").bitwiseXOR(F.col("query_id_hi")).alias("hi"), F.col("id_lo").bitwiseXOR(F.col("query_id_lo")).alias("lo"))
+    first = F.lit(len(masks))
+    for t in reversed(range(len(masks))):
+        a, b = block("hi", "lo", masks[t])
+        first = F.when((a == 0) & (b == 0), t).otherwise(first)
+    distance = F.bit_count("hi") + F.bit_count("lo")
+    return differ.filter((distance <= radius) & (first == F.col("t"))).select("query_id", "id", distance.alias("distance"))
