@@ -15,28 +15,28 @@ from pyspark.sql import functions as F
 from ..functions.contract import Baseline, Limits
 from .cast import FILE_DATE, WARNINGS
 
-_STATE = "struct<normal:array<bigint>,out:array<struct<date:date,bronze_rows:bigint,baseline:double,change:double,partial:boolean,note:string>>>"
-
-
-def calendar(days: DataFrame) -> DataFrame:
-    """Every date from the first to the last of (date, ...)."""
-    return days.agg(F.min("date").alias("a"), F.max("date").alias("b")).select(F.explode(F.sequence("a", "b")).alias("date"))
-
-
 def _median(a: Column) -> Column:
     s, n = F.array_sort(a), F.size(a)
     middle = F.floor(n / 2).cast("int")
     return F.when(n % 2 == 1, F.element_at(s, middle + 1).cast("double")).otherwise((F.element_at(s, middle) + F.element_at(s, middle + 1)).cast("double") / 2)
 
 
-def source_checks(days: DataFrame, rules: Baseline = Baseline()) -> DataFrame:
+def source_checks(days: DataFrame, rules: Baseline = Baseline(), carry: tuple[str, ...] = ()) -> DataFrame:
     """(date, row_count, status) to a row per calendar day: bronze_rows, baseline, change, partial and note.
 
-    Only days with rows that are not partial join the baseline, so a long partial stretch stays flagged.
+    Only days with rows that are not partial join the baseline, so a long partial stretch stays flagged. Columns in
+    ``carry`` go along, null on days that aren't there: what is counted per day needs no second scan to be joined.
     """
-    series = calendar(days).join(days.select("date", "row_count", "status", F.lit(True).alias("there")), "date", "left")
-    listed = series.agg(F.array_sort(F.collect_list(F.struct("date", F.col("row_count").cast("bigint").alias("rows"), "status", F.coalesce("there", F.lit(False)).alias("there")))).alias("days"))
-    zero = F.from_json(F.lit('{"normal":[],"out":[]}'), _STATE)
+    known = days.select("date", "row_count", "status", F.lit(True).alias("there"), F.struct(F.lit(True).alias("there"), *carry).alias("carried"))
+    shape = f"struct<normal:array<bigint>,out:array<struct<date:date,bronze_rows:bigint,baseline:double,change:double,partial:boolean,note:string,carried:{known.schema['carried'].dataType.simpleString()}>>>"
+    listed = known.agg(F.collect_list(F.struct("date", F.col("row_count").cast("bigint").alias("rows"), "status", "there", "carried")).alias("known"), F.min("date").alias("a"), F.max("date").alias("b"))
+    # The calendar is laid out beside the days that are there, so the series comes from one aggregation.
+    by_date = F.map_from_entries(F.transform("known", lambda d: F.struct(d["date"], d)))
+    series = listed.filter(F.col("a").isNotNull()).select(by_date.alias("by_date"), F.explode(F.sequence("a", "b")).alias("date"))
+    at = F.col("by_date")[F.col("date")]
+    whole = series.select(F.struct("date", at["rows"].alias("rows"), at["status"].alias("status"), F.coalesce(at["there"], F.lit(False)).alias("there"), at["carried"].alias("carried")).alias("d"))
+    whole = whole.agg(F.array_sort(F.collect_list("d"), lambda a, b: F.datediff(a["date"], b["date"])).alias("days"))
+    zero = F.from_json(F.lit('{"normal":[],"out":[]}'), shape)
 
     def step(state: Column, day: Column) -> Column:
         empty = (day["status"] == "empty") | (day["rows"] == 0)
@@ -49,29 +49,37 @@ def source_checks(days: DataFrame, rules: Baseline = Baseline()) -> DataFrame:
         note = F.when(~day["there"], "missing").when(~usable, "empty").when(partial, "partial").when(unusual, "unusual")
         last = F.slice(F.concat(state["normal"], F.array(day["rows"])), F.greatest(F.size(state["normal"]) + 2 - rules.window, F.lit(1)), rules.window)
         row = F.struct(
-            day["date"].alias("date"), F.when(day["there"], day["rows"]).alias("bronze_rows"), base.alias("baseline"), F.round(change, 4).alias("change"), partial.alias("partial"), note.alias("note")
-        )
-        return F.struct(F.when(usable & ~partial, last).otherwise(state["normal"]).alias("normal"), F.concat(state["out"], F.array(row)).alias("out")).cast(_STATE)
+            day["date"].alias("date"), F.when(day["there"], day["rows"]).alias("bronze_rows"), base.alias("baseline"), F.round(change, 4).alias("change"), partial.alias("partial"), note.alias("note"),
+            day["carried"].alias("carried"),
+        )
+        return F.struct(F.when(usable & ~partial, last).otherwise(state["normal"]).alias("normal"), F.concat(state["out"], F.array(row)).alias("out")).cast(shape)
+
+    folded = whole.select(F.explode(F.aggregate("days", zero, step, lambda s: s["out"])).alias("x"))
+    return folded.select("x.date", "x.bronze_rows", "x.baseline", "x.change", "x.partial", "x.note", *(F.col(f"x.carried.{c}").alias(c) for c in carry))
 
-    folded = listed.select(F.explode(F.aggregate("days", zero, step, lambda s: s["out"])).alias("x"))
-    return folded.select("x.date", "x.bronze_rows", "x.baseline", "x.change", "x.partial", "x.note")
 
+COUNTERS = ("cast_good", "cast_quarantined", "conflict_rows", "conflict_drives", "silver_rows")
 
-def day_counts(good: DataFrame, quarantined: DataFrame, conflicts: DataFrame, kept: DataFrame, days: DataFrame) -> DataFrame:
-    """Per loaded day, zero where nothing is counted: one aggregation over the stacked counters."""
-    names = ("cast_good", "cast_quarantined", "conflict_rows", "conflict_drives", "silver_rows")
 
-    def part(df: DataFrame, day: str, name: str) -> DataFrame:
-        return df.groupBy(F.col(day).alias("date")).agg(F.count("*").alias("n")).select("date", F.lit(name).alias("what"), "n")
+def day_counts(told: DataFrame, quarantined: DataFrame, days: DataFrame) -> DataFrame:
+    """Per day of rows or of ``days``, zero where nothing is counted.
 
+    Good, conflicting and kept rows are counted in one pass over the versions that duplicate removal tells apart:
+    a row per device and day first (no further shuffle, as versions are counted by the same keys), then per day.
+    """
+    device = told.groupBy("date", "serial_number").agg(F.sum("_copies").alias("copies"), F.count("*").alias("versions"))
+    clash = F.col("versions") > 1
+    sums = {"cast_good": F.sum("copies"), "conflict_rows": F.sum(F.when(clash, F.col("versions"))), "conflict_drives": F.count_if(clash), "silver_rows": F.count_if(~clash)}
+    counted = device.groupBy("date").agg(*(c.alias(n) for n, c in sums.items()))
+    aside = quarantined.groupBy(F.col(FILE_DATE).alias("date")).agg(F.count("*").alias("cast_quarantined"))
+    whole = counted.join(aside, "date", "full").join(days.select("date").distinct(), "date", "full")
+    return whole.select("date", *(F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in COUNTERS))
+
+
+def conflict_devices(conflicts: DataFrame) -> DataFrame:
+    """Per day: devices among quarantine rows, by the serial number in their original text."""
     serial = F.get_json_object("raw", "$.serial_number")
-    devices = conflicts.groupBy(F.col(FILE_DATE).alias("date")).agg(F.count_distinct(serial).alias("n")).select("date", F.lit("conflict_drives").alias("what"), "n")
-    parts = [part(good, "date", "cast_good"), part(quarantined, FILE_DATE, "cast_quarantined"), part(conflicts, FILE_DATE, "conflict_rows"), devices, part(kept, "date", "silver_rows")]
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p)
-    counted = stacked.groupBy("date").agg(*(F.sum(F.when(F.col("what") == n, F.col("n")).otherwise(0)).alias(n) for n in names))
-    return days.select("date").distinct().join(counted, "date", "left").select("date", *(F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in names))
+    return conflicts.groupBy(F.col(FILE_DATE).alias("date")).agg(F.count_distinct(serial).alias("devices"))
 
 
 def warning_counts(kept: DataFrame) -> DataFrame:
@@ -83,7 +91,11 @@ def judge_days(checks: DataFrame, counts: DataFrame, limits: Limits = Limits(),
 
     ``noted``: (date, n) counts of row warnings, which make an ok day a warn day.
     """
-    rows = counts.join(checks, "date", "left")
+    return judge(counts.join(checks, "date", "left"), limits, noted)
+
+
+def judge(rows: DataFrame, limits: Limits = Limits(), noted: DataFrame | None = None) -> DataFrame:
+    """The verdicts of ``judge_days`` on rows that have a day's counts and its checks."""
     if noted is not None:
         rows = rows.join(noted.groupBy("date").agg(F.sum("n").alias("row_warnings")), "date", "left")
     else:

@@ -7,10 +7,20 @@ from pyspark.sql import functions as F
 
 
 def latest_between(rows: DataFrame, key: str, day: str, value: str, far: int, near: int) -> DataFrame:
-    """As-of look-back: each row with the latest reading ``far`` to ``near`` days before, by an equi-join with a range condition."""
-    past = rows.select(F.col(key).alias("_k"), F.col(day).alias("_d"), F.col(value).alias("_v"))
-    inside = (F.col(key) == F.col("_k")) & F.col("_d").between(F.date_sub(day, far), F.date_sub(day, near))
-    return rows.join(past, inside, "left").groupBy(key, day).agg(F.max_by("_v", "_d").alias("past_value"))
+    """As-of look-back: each row with the latest reading ``far`` to ``near`` days before, from one sort by key and day."""
+    past = Window.partitionBy(key).orderBy(F.unix_date(day)).rangeBetween(-far, -near)
+    return rows.select(key, day, F.last(value).over(past).alias("past_value")).dropDuplicates([key, day])
+
+
+def latest_by_bucket(rows: DataFrame, key: str, day: str, value: str, far: int, near: int) -> DataFrame:
+    """The same by an equi-join: a look-back touches two buckets of its own length at most, so a row meets the rows of those only."""
+    width, at = far - near + 1, F.unix_date(day)
+    past = rows.select(F.col(key).alias("_k"), at.alias("_d"), F.col(value).alias("_v"), F.floor(at / width).alias("_b"))
+    ends = [F.floor((at - far) / width), F.floor((at - near) / width)]
+    asked = rows.select(key, day, F.explode(F.array_distinct(F.array(*ends))).alias("_a"))
+    inside = F.col("_d").between(F.unix_date(day) - far, F.unix_date(day) - near)
+    met = asked.join(past, (F.col(key) == F.col("_k")) & (F.col("_a") == F.col("_b")) & inside, "left")
+    return met.groupBy(key, day).agg(F.max_by("_v", "_d").alias("past_value"))
 
 
 def previous_day(rows: DataFrame, key: str, value: str) -> DataFrame:

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.contract import Contract
 from ..operators import audit
 from ..operators.cast import cast_all
-from ..operators.dedupe import dedupe
-from ..sources.archives import RawStore, judge_header
-from ..sources.files import group_by_layout, read_layout
+from ..operators.dedupe import split, versions
+from ..sources.archives import Manifest, RawStore, judge_header
+from ..sources.files import scans
 from ..sources.snapshots import Lake, publish
 
 SILVER, QUARANTINE, VERDICTS = "silver", "quarantine", "silver_days"
@@ -37,17 +37,16 @@ def source_files(store: RawStore, bronze: Path) -> list[dict]:
     return rows
 
 
-def bronze_days(spark: SparkSession, manifests: list[dict], current: set[tuple[str, str]], contract: Contract, bronze: Path) -> DataFrame:
+def bronze_days(spark: SparkSession, manifests: list[Manifest], current: set[tuple[str, str]], contract: Contract, bronze: Path) -> DataFrame:
     """A row per day and archive version, judged against the contract of today. Two current sources for a day raise."""
-    rows, seen = [], {}
+    rows, owner = [], {}
     for m in manifests:
-        is_current = (m["source_name"], m["source_sha256"]) in current
-        for d in m["days"]:
-            day = date.fromisoformat(d["date"])
-            status, blocks, warnings = judge_header(m["headers"][d["header_fingerprint"]], day, d["row_count"], contract)
-            if is_current and seen.setdefault(day, m["source_name"]) != m["source_name"]:
-                raise ValueError(f"more than one current source for {day}")
-            rows.append((day, m["source_name"], m["source_sha256"], is_current, status, blocks, warnings + d["file_warnings"], d["row_count"], d["day_sha256"], d["header_fingerprint"], str(bronze / d["key"])))
+        is_current = (m.source, m.sha256) in current
+        for d in m.days:
+            if is_current and owner.setdefault(d.date, m.source) != m.source:
+                raise ValueError(f"{d.date} is in {owner[d.date]} and in {m.source}, both current")
+            status, blocks, warnings = judge_header(list(m.layouts[d.layout]), d.date, d.rows, contract)
+            rows.append((d.date, m.source, m.sha256, is_current, status, blocks, warnings + d.file_warnings, d.rows, d.sha256, d.layout, str(bronze / d.key)))
     shape = "date date, source_name string, source_sha256 string, is_current boolean, status string, blocks array<string>, warnings array<string>, row_count long, day_sha256 string, header_fingerprint string, path string"
     return spark.createDataFrame(rows, shape)
 
@@ -61,19 +60,25 @@ def load(spark: SparkSession, lake: Lake, days: DataFrame, contract: Contract, f
     chosen = select_days(days, first, last)
     defective = audit.defect_verdicts(chosen, contract.defects) if contract.defects else None
     wanted = chosen.filter(~F.col("date").isin(list(contract.defects))) if contract.defects else chosen
-    listed = [r.asDict() for r in wanted.select("date", "header_fingerprint", "path").collect()]  # a row per file of the load
-    if not listed:
+    read = scans(spark, wanted.select("date", "header_fingerprint", "path"))
+    if not read:
         return {"published": [], "blocked": [], "branch": None}
-    good, bad = cast_all([read_layout(spark, paths) for paths in group_by_layout(listed).values()], contract)
-    good, bad = good.persist(StorageLevel.MEMORY_AND_DISK), bad.persist(StorageLevel.MEMORY_AND_DISK)
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
     try:
-        kept, conflicts = dedupe(good)
-        kept, conflicts = kept.persist(StorageLevel.MEMORY_AND_DISK), conflicts.persist(StorageLevel.MEMORY_AND_DISK)
+        good, bad = map(hold, cast_all(read, contract))
+        told = hold(versions(good))
+        kept, conflicts = split(told, good.columns)
         checks = audit.source_checks(days.filter("is_current").select("date", "row_count", "status"), contract.baseline)
-        counts = audit.day_counts(good, bad, conflicts, kept, wanted)
+        counts = audit.day_counts(told, bad, wanted)
         verdicts = audit.judge_days(checks, counts, contract.limits, audit.warning_counts(kept))
         if defective is not None:
             verdicts = verdicts.unionByName(defective)
-        return publish(lake, SILVER, QUARANTINE, VERDICTS, kept, bad.unionByName(conflicts), verdicts.persist(), run_id)
+        return publish(lake, SILVER, QUARANTINE, VERDICTS, kept, bad.unionByName(conflicts), hold(verdicts), run_id)
     finally:
-        spark.catalog.clearCache()
+        for df in held:
+            df.unpersist()

@@ -11,7 +11,8 @@ from ..functions.contract import DEFAULT, Baseline, Limits
 from ..functions.telemetry import year_quarter
 from ..operators import audit
 from ..operators.cast import FILE_DATE, REASONS, SOURCE_FILE, WARNINGS, cast_layout
-from ..operators.dedupe import dedupe
+from ..operators.dedupe import dedupe, versions
+from ..operators.relational import latest_by_bucket
 from . import model_queries, models
 from .assertions import accepted_values, not_null, unique, within_tolerance
 from .model_queries import DEVICE_FAILURE, FEATURE_DAY, HEALTH, MODEL_DAILY, MODEL_DAILY_SP, PATTERNS_PP, PATTERNS_SP, RECONCILE_CTES, VERDICTS, dim_sql
@@ -83,9 +84,9 @@ def cast_detail_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def copied_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part panel with exact copies of each tenth part from a second file."""
-    panel = part_panel(spark, sf_dir).withColumn("serial_number", F.col("serial_number").cast("string")).withColumn(WARNINGS, F.expr("cast(array() as array<string>)"))
-    again = panel.filter(F.col("serial_number").cast("bigint") % 10 == 0).withColumn(SOURCE_FILE, F.lit("b"))
-    return panel.withColumn(SOURCE_FILE, F.lit("a")).unionByName(again)
+    sources = F.when(F.col("serial_number") % 10 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))
+    copied = part_panel(spark, sf_dir).select("*", F.explode(sources).alias(SOURCE_FILE))
+    return copied.withColumn("serial_number", F.col("serial_number").cast("string")).withColumn(WARNINGS, F.expr("cast(array() as array<string>)"))
 
 
 COPIED = "cp AS (SELECT CAST(serial_number AS VARCHAR) AS serial_number, date, model, capacity_bytes, failure, slot_num, 'a' AS src FROM pp UNION ALL SELECT CAST(serial_number AS VARCHAR), date, model, capacity_bytes, failure, slot_num, 'b' FROM pp WHERE serial_number % 10 = 0)"
@@ -116,10 +117,13 @@ COUNTS = """dc AS (
 
 def counted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = copied_rows(spark, sf_dir)
-    kept, conflicts = dedupe(rows)
     set_aside = rows.filter((F.col("capacity_bytes") == 100_000_000_000) & (F.col(SOURCE_FILE) == "b")).withColumnRenamed("date", FILE_DATE)
-    days = rows.select("date").union(spark.createDataFrame([(date(2020, 2, 2),)], "date date"))
-    return audit.day_counts(rows, set_aside, conflicts, kept, days)
+    return audit.day_counts(versions(rows), set_aside, spark.createDataFrame([(date(2020, 2, 2),)], "date date"))
+
+
+@query(with_sql("SELECT date, count(DISTINCT serial_number) AS devices FROM vs WHERE versions > 1 GROUP BY 1", *VERSION_CTES))
+def conflict_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.conflict_devices(dedupe(copied_rows(spark, sf_dir))[1])
 
 
 @query(with_sql("SELECT * FROM dc", *VERSION_CTES, COUNTS))
@@ -167,10 +171,12 @@ FROM (SELECT *, cast_good + cast_quarantined <> bronze AS lost, quarantined > 0
 
 @query(with_sql(JUDGED, *VERSION_CTES, COUNTS, BRONZE, baseline_sql("bz", LOOSE)))
 def judge_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts go along with the series that the baseline folds, so rows are read once."""
     counts = counted_days(spark, sf_dir).filter(F.col("date") < "2010-01-01")
     extra = F.when(F.datediff("date", F.lit("1995-01-01").cast("date")) % 101 == 0, 1).otherwise(0)
-    days = counts.select("date", (F.col("cast_good") + F.col("cast_quarantined") + extra).alias("row_count"), F.lit("ok").alias("status"))
-    return audit.judge_days(audit.source_checks(days, LOOSE), counts, TIGHT).drop("blocks", "warnings")
+    days = counts.select("*", (F.col("cast_good") + F.col("cast_quarantined") + extra).alias("row_count"), F.lit("ok").alias("status"))
+    checked = audit.source_checks(days, LOOSE, carry=audit.COUNTERS).filter(F.col("bronze_rows").isNotNull())
+    return audit.judge(checked, TIGHT).drop("blocks", "warnings")
 
 
 @query(with_sql("SELECT date, 'warn' AS status, row_count AS bronze_rows, CAST(0 AS BIGINT) AS silver_rows FROM ed WHERE date IN (DATE '2024-01-10', DATE '2024-01-12')", EVENT_DAYS))
@@ -248,12 +254,10 @@ PAST_ONLY = "SELECT f.serial_number, f.date FROM fd f LEFT JOIN sp t ON t.serial
 
 @query(with_sql(PAST_ONLY, *FEATURE_DAY))
 def assert_past_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Look-back features recomputed by a range join instead of windows: rows that disagree."""
-    from ..operators.relational import latest_between
-
+    """Look-back features recomputed by a join of buckets instead of windows: rows that disagree."""
     panel = supplier_panel(spark, sf_dir).select("serial_number", "date", "realloc")
     features = model_queries.feat_drive_day(spark, sf_dir).select("serial_number", "date", F.col("realloc").alias("f_now"), "realloc_7d")
-    past = latest_between(panel, "serial_number", "date", "realloc", 14, 7)
+    past = latest_by_bucket(panel, "serial_number", "date", "realloc", 14, 7)
     rows = features.join(panel, ["serial_number", "date"], "left").join(past, ["serial_number", "date"], "left")
     agree = F.col("f_now").eqNullSafe(F.col("realloc")) & F.col("realloc_7d").eqNullSafe(F.col("realloc") - F.col("past_value"))
     return rows.filter(~agree).select("serial_number", "date")

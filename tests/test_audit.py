@@ -71,12 +71,26 @@ def test_block_beats_partial(spark):
 
 
 def test_day_counts_start_at_zero(spark):
-    rows = spark.createDataFrame([], "date date, serial_number string")
+    told = spark.createDataFrame([], "date date, serial_number string, _copies bigint, _versions bigint")
     bad = spark.createDataFrame([], "_file_date date, raw string")
-    row = day_counts(rows, bad, bad, rows, spark.createDataFrame([(START,)], "date date")).first()
+    row = day_counts(told, bad, spark.createDataFrame([(START,)], "date date")).first()
     assert tuple(row) == (START, 0, 0, 0, 0, 0)
 
 
+def test_day_counts_of_versions(spark):
+    told = spark.createDataFrame([(START, "a", 3, 1), (START, "b", 1, 2), (START, "b", 2, 2), (START, "c", 1, 1)], "date date, serial_number string, _copies bigint, _versions bigint")
+    bad = spark.createDataFrame([(START, "{}"), (START + timedelta(days=1), "{}")], "_file_date date, raw string")
+    got = {r.date: tuple(r)[1:] for r in day_counts(told, bad, spark.createDataFrame([(START,)], "date date")).collect()}
+    assert got == {START: (7, 1, 2, 1, 2), START + timedelta(days=1): (0, 1, 0, 0, 0)}
+
+
+def test_columns_go_along(spark):
+    days = frame(spark, [5, None, 7]).selectExpr("*", "row_count * 2 as twice")
+    got = source_checks(days, carry=("twice",)).orderBy("date").collect()
+    assert [(r.bronze_rows, r.twice) for r in got] == [(5, 10), (None, None), (7, 14)]
+    assert source_checks(days.limit(0)).count() == 0
+
+
 def test_defects_keep_the_real_count(spark):
     row = defect_verdicts(frame(spark, [7, 8]), {START: "a copy"}).first()
     assert (row.status, row.bronze_rows, row.silver_rows) == ("warn", 7, 0)
