@@ -15,7 +15,7 @@ from ..operators.cast import cast_all
 from ..operators.dedupe import split, versions
 from ..sources.archives import Manifest, RawStore, judge_header
 from ..sources.files import scans
-from ..sources.snapshots import Lake, publish
+from ..sources.snapshots import Lake, Publication, publish
 
 SILVER, QUARANTINE, VERDICTS = "silver", "quarantine", "silver_days"
 
@@ -51,7 +51,7 @@ def bronze_days(spark: SparkSession, manifests: list[Manifest], current: set[tup
     return spark.createDataFrame(rows, shape)
 
 
-def load(spark: SparkSession, lake: Lake, days: DataFrame, contract: Contract, first: date, last: date, run_id: str) -> dict:
+def load(spark: SparkSession, lake: Lake, days: DataFrame, contract: Contract, first: date, last: date, run_id: str) -> Publication:
     """Load a range of days. Listed defects are skipped with a verdict of their own; no other day is published unjudged.
 
     The cast rows feed several aggregates, so they are kept while the load runs; the files behind
@@ -62,7 +62,7 @@ def load(spark: SparkSession, lake: Lake, days: DataFrame, contract: Contract, f
     wanted = chosen.filter(~F.col("date").isin(list(contract.defects))) if contract.defects else chosen
     read = scans(spark, wanted.select("date", "header_fingerprint", "path"))
     if not read:
-        return {"published": [], "blocked": [], "branch": None}
+        return Publication([], [], "")
     held: list[DataFrame] = []
 
     def hold(df: DataFrame) -> DataFrame:

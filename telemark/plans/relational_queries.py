@@ -177,11 +177,12 @@ def source_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bookkeeping.clashes(current)
 
 
-@query(with_sql("SELECT serial_number, date, model, NULL AS slot_num FROM pp WHERE date < DATE '1995-03-01' UNION ALL SELECT serial_number, date, NULL, slot_num FROM pp WHERE date >= DATE '2001-09-01'", PART_PANEL))
+@query(with_sql("SELECT serial_number, date, model, NULL AS slot_num FROM pp WHERE date < DATE '1998-07-01' UNION ALL SELECT serial_number, date, NULL, slot_num FROM pp WHERE date >= DATE '1998-07-01'", PART_PANEL))
 def union_missing_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days, in two layouts that part at one date."""
     panel = part_panel(spark, sf_dir)
-    old = panel.filter(F.col("date") < "1995-03-01").select("serial_number", "date", "model")
-    return old.unionByName(panel.filter(F.col("date") >= "2001-09-01").select("slot_num", "serial_number", "date"), allowMissingColumns=True)
+    old = panel.filter(F.col("date") < "1998-07-01").select("serial_number", "date", "model")
+    return old.unionByName(panel.filter(F.col("date") >= "1998-07-01").select("slot_num", "serial_number", "date"), allowMissingColumns=True)
 
 
 @query(with_sql("SELECT DISTINCT model, capacity_bytes FROM pp WHERE model LIKE '%PROMO' AND capacity_bytes BETWEEN 1000000000000 AND 2000000000000", PART_PANEL))
