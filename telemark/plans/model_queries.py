@@ -75,9 +75,10 @@ MODEL_QUARTER = f"""mq AS (
              count(*) FILTER (silver_rows = 0) AS days_without_data FROM dv GROUP BY 1) s ON s.year_quarter = p.year_quarter)"""
 
 
-def verdicts(panel: DataFrame) -> DataFrame:
+def verdicts(daily: DataFrame) -> DataFrame:
+    """Verdicts by rule, from the daily fact of models."""
     blocked = F.datediff("date", F.lit("1995-01-01").cast("date")) % 97 == 0
-    return panel.groupBy("date").agg(F.count("*").alias("n")).select(
+    return daily.groupBy("date").agg(F.sum("drive_days").alias("n")).select(
         "date", F.when(blocked, "blocked").when(F.col("n") < 10, "partial").otherwise("ok").alias("status"), F.when(blocked, 0).otherwise(F.col("n")).alias("silver_rows")
     )
 
@@ -113,7 +114,8 @@ def device_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_sql("SELECT * FROM mq", PART_PANEL, MODEL_DAILY, PATTERNS_PP, dim_sql("pp"), VERDICTS, MODEL_QUARTER))
 def afr_model_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = part_panel(spark, sf_dir)
-    return models.afr_model_quarter(models.model_daily(panel), part_dim(spark, sf_dir), verdicts(panel))
+    daily = models.model_daily(panel)
+    return models.afr_model_quarter(daily, part_dim(spark, sf_dir), verdicts(daily))
 
 
 @query(with_sql("SELECT * FROM fq", PART_PANEL, QUARTERS, FLEET_QUARTER))
@@ -257,4 +259,4 @@ def reconcile_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_sql(f"SELECT {YEAR_QUARTER} AS year_quarter, status, count(*) AS days FROM dv GROUP BY 1, 2", PART_PANEL, VERDICTS))
 def day_status_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verdicts(part_panel(spark, sf_dir)).groupBy(year_quarter(F.col("date")).alias("year_quarter"), "status").agg(F.count("*").alias("days"))
+    return verdicts(models.model_daily(part_panel(spark, sf_dir))).groupBy(year_quarter(F.col("date")).alias("year_quarter"), "status").agg(F.count("*").alias("days"))

@@ -31,11 +31,11 @@ def model_daily(silver: DataFrame) -> DataFrame:
     return silver.groupBy("date", "model").agg(F.count("*").alias("drive_days"), count_where(F.col("failure")).alias("failures"))
 
 
-def first_pattern(models: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(model) and (priority, pattern, manufacturer) to the first pattern by priority that each model is LIKE."""
-    matched = models.join(F.broadcast(patterns), F.expr("model LIKE pattern"))
+def first_pattern(rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Rows, one for each model, with the manufacturer of the first pattern by priority that the model is LIKE; null if none is."""
+    matched = rows.join(F.broadcast(patterns), F.expr("model LIKE pattern"), "left")  # patterns are a seed
     rank = F.row_number().over(Window.partitionBy("model").orderBy("priority"))
-    return matched.withColumn("rank", rank).filter("rank = 1").select("model", "manufacturer")
+    return matched.withColumn("rank", rank).filter("rank = 1").drop("rank", "priority", "pattern")
 
 
 def usual_value(rows: DataFrame, key: str, value: str) -> DataFrame:
@@ -45,16 +45,20 @@ def usual_value(rows: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def dim_model(silver: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Per model: first and last day, devices, days, usual capacity and manufacturer, from one scan.
+
+    Days become a row per device and capacity, those a row per model and capacity, and those a row per model. A device
+    counts where its first capacity is, so devices are counted once without gathering a model's devices anywhere.
+    """
     days = silver.select("model", "serial_number", "date", "capacity_bytes").filter(F.col("model").isNotNull())
-    per_model = days.groupBy("model").agg(
-        F.min("date").alias("first_seen"), F.max("date").alias("last_seen"), F.count_distinct("serial_number").alias("drives"), F.count("*").alias("drive_days")
-    )
-    named = first_pattern(per_model.select("model"), patterns)
-    usual = usual_value(days, "model", "capacity_bytes")
-    return (
-        per_model.join(named, "model", "left")
-        .join(usual, "model", "left")
-        .select("model", "manufacturer", "capacity_bytes", F.round(F.col("capacity_bytes") / F.lit(1e12), 1).alias("capacity_tb"), "first_seen", "last_seen", "drives", "drive_days")
+    device = days.groupBy("model", "serial_number", "capacity_bytes").agg(F.count("*").alias("n"), F.min("date").alias("first_seen"), F.max("date").alias("last_seen"))
+    first = F.row_number().over(Window.partitionBy("model", "serial_number").orderBy("capacity_bytes")) == 1
+    ends = (F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+    size = device.withColumn("first", first).groupBy("model", "capacity_bytes").agg(F.sum("n").alias("n"), F.count_if("first").alias("drives"), *ends)
+    usual = F.max_by("capacity_bytes", F.when(F.col("capacity_bytes").isNotNull(), F.struct("n", "capacity_bytes")))
+    each = size.groupBy("model").agg(*ends, F.sum("drives").alias("drives"), F.sum("n").alias("drive_days"), usual.alias("capacity_bytes"))
+    return first_pattern(each, patterns).select(
+        "model", "manufacturer", "capacity_bytes", F.round(F.col("capacity_bytes") / F.lit(1e12), 1).alias("capacity_tb"), "first_seen", "last_seen", "drives", "drive_days"
     )
 
 
@@ -123,19 +127,20 @@ def large_enough(eras: tuple[Era, ...]) -> Column:
 
 
 def afr_fleet_quarter(quarters: DataFrame, eras: tuple[Era, ...] = ERAS) -> DataFrame:
-    """Fleet AFR per quarter: data devices of models that are large enough in their era."""
+    """Fleet AFR per quarter: data devices of models that are large enough in their era. Quarters without data devices have no row."""
     per_model = (
-        quarters.filter(~F.col("is_boot"))
-        .groupBy("year_quarter", "model")
-        .agg(F.sum("drive_days").alias("drive_days"), F.sum("failures").alias("failures"), count_where(F.col("at_quarter_end")).alias("drives_at_end"))
-        .withColumn("in_table", large_enough(eras))
-    )
-    everything = quarters.groupBy("year_quarter").agg(F.sum("drive_days").alias("drive_days"), F.sum("failures").alias("failures"), count_where(F.col("is_boot")).alias("boot_drives"))
-    inside = lambda c: F.sum(F.when(F.col("in_table"), F.col(c)).otherwise(0))
-    chosen = per_model.groupBy("year_quarter").agg(
-        inside("drive_days").alias("afr_drive_days"), inside("failures").alias("afr_failures"), F.sum(F.when(F.col("in_table"), 0).otherwise(F.col("drive_days"))).alias("small_model_drive_days")
+        quarters.groupBy("year_quarter", "model", "is_boot")
+        .agg(F.count("*").alias("devices"), F.sum("drive_days").alias("drive_days"), F.sum("failures").alias("failures"), count_where(F.col("at_quarter_end")).alias("drives_at_end"))
+        .withColumn("in_table", ~F.col("is_boot") & large_enough(eras))
     )
-    return chosen.join(everything, "year_quarter").select(
+    of = lambda condition, c: F.sum(F.when(condition, F.col(c)).otherwise(0))
+    inside, boot = F.col("in_table"), F.col("is_boot")
+    summed = per_model.groupBy("year_quarter").agg(
+        F.sum("drive_days").alias("drive_days"), F.sum("failures").alias("failures"),
+        of(inside, "drive_days").alias("afr_drive_days"), of(inside, "failures").alias("afr_failures"),
+        of(~inside & ~boot, "drive_days").alias("small_model_drive_days"), of(boot, "devices").alias("boot_drives"), count_where(~boot).alias("data_models"),
+    )
+    return summed.filter("data_models > 0").select(
         "year_quarter", "drive_days", "failures",
         afr_pct(F.col("failures"), F.col("drive_days")).alias("afr_pct_all_drives"),
         "afr_drive_days", "afr_failures",

@@ -229,7 +229,7 @@ def assert_totals_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_sql("SELECT f.date, f.drives, d.silver_rows FROM (SELECT date, count(*) AS drives FROM pp GROUP BY 1) f JOIN dv d USING (date) WHERE f.drives <> d.silver_rows", PART_PANEL, VERDICTS))
 def assert_days_match_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = part_panel(spark, sf_dir)
-    return models.fleet_daily(panel).join(model_queries.verdicts(panel).select("date", "silver_rows"), "date").filter("drives <> silver_rows").select("date", "drives", "silver_rows")
+    return models.fleet_daily(panel).join(model_queries.verdicts(models.model_daily(panel)).select("date", "silver_rows"), "date").filter("drives <> silver_rows").select("date", "drives", "silver_rows")
 
 
 LEAK = """SELECT f.serial_number, f.date FROM fd f LEFT JOIN df x ON x.serial_number = f.serial_number WHERE f.date >= x.fail_date

@@ -48,3 +48,26 @@ def test_top_k_keeps_k_rows_per_task(spark, sf_dir):
 
 def test_first_pattern_limits_before_the_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in plan(registry.QUERIES["dim_model"](spark, sf_dir))
+
+
+def scans(df, column):
+    """Scans in the plan that read a column of this prefix, before any exchange is reused."""
+    return len(re.findall(rf"ReadSchema: struct<[^>]*\b{column}", plan(df).split("== Initial Plan ==")[-1]))
+
+
+@pytest.mark.parametrize(("name", "most"), [("dim_model", 1), ("afr_fleet_quarter", 1), ("afr_fleet_year", 1), ("day_counts", 2), ("judge_days", 2), ("conflict_devices", 1), ("afr_model_quarter", 3), ("asof_lookback", 1)])
+def test_facts_come_from_few_scans(spark, sf_dir, name, most):
+    assert 1 <= scans(registry.QUERIES[name](spark, sf_dir), "l_") <= most
+
+
+def test_look_back_is_one_sort(spark, sf_dir):
+    """A window by device; no device's days meet one another in a join."""
+    tree = plan(registry.QUERIES["asof_lookback"](spark, sf_dir)).split("== Initial Plan ==")[-1].split("\n\n")[0]
+    assert len(re.findall(r"Window \(\d+\)", tree)) == 1 and "serial_number" not in "".join(re.findall(r"Join.*", tree))
+
+
+def test_copies_are_told_apart_by_a_narrow_key(spark, sf_dir):
+    """Rows are sorted and shuffled by device, day and hash, not by all their values."""
+    text = plan(registry.QUERIES["dedupe_kept"](spark, sf_dir))
+    for keys in re.findall(r"SortAggregate\nInput[^\n]*\nKeys \[\d+\]: \[([^\]]*)\]", text):
+        assert len(keys.split(",")) <= 4
