@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import shared_folder
 from ..sources.snapshots import Lake
 from ..streaming import daily
 from . import models
@@ -39,15 +37,6 @@ def streaming_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.run_to_table(daily.sliding_counts(stream.withColumn("ts", F.col("ts").cast("timestamp"))), f"sliding_{uuid.uuid4().hex}")
 
 
-def _scratch(spark: SparkSession) -> str:
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared:
-        return f"{shared.rstrip('/')}/lake-{uuid.uuid4().hex}"
-    made = tempfile.mkdtemp(prefix="lake-")
-    atexit.register(shutil.rmtree, made, True)
-    return f"file://{made}"
-
-
 @query(
     """SELECT date, count(*) AS drives, count(*) FILTER (failure) AS failures FROM (
     SELECT CAST(l_shipdate AS DATE) AS date, (l_returnflag = 'R' AND l_quantity >= 49) AS failure, l_partkey AS serial_number FROM lineitem JOIN part ON l_partkey = p_partkey)
@@ -56,7 +45,7 @@ def _scratch(spark: SparkSession) -> str:
 def snapshot_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load all days, reload one day with half its rows on a branch and release it, empty another, compact by month; then read all back."""
     panel = part_panel(spark, sf_dir)
-    lake = Lake(spark, _scratch(spark))
+    lake = Lake(spark, shared_folder(spark, "lake"))
     days = [r["date"] for r in panel.select("date").distinct().collect()]  # days of one load
     lake.replace_days("silver", panel, days, sort="serial_number")
     changed = panel.filter((F.col("date") == "1998-03-03") & (F.col("serial_number") % 2 == 0))
