@@ -27,35 +27,36 @@ def source_checks(days: DataFrame, rules: Baseline = Baseline(), carry: tuple[st
     Only days with rows that are not partial join the baseline, so a long partial stretch stays flagged. Columns in
     ``carry`` go along, null on days that aren't there: what is counted per day needs no second scan to be joined.
     """
-    known = days.select("date", "row_count", "status", F.lit(True).alias("there"), F.struct(F.lit(True).alias("there"), *carry).alias("carried"))
-    shape = f"struct<normal:array<bigint>,out:array<struct<date:date,bronze_rows:bigint,baseline:double,change:double,partial:boolean,note:string,carried:{known.schema['carried'].dataType.simpleString()}>>>"
-    listed = known.agg(F.collect_list(F.struct("date", F.col("row_count").cast("bigint").alias("rows"), "status", "there", "carried")).alias("known"), F.min("date").alias("a"), F.max("date").alias("b"))
-    # The calendar is laid out beside the days that are there, so the series comes from one aggregation.
-    by_date = F.map_from_entries(F.transform("known", lambda d: F.struct(d["date"], d)))
-    series = listed.filter(F.col("a").isNotNull()).select(by_date.alias("by_date"), F.explode(F.sequence("a", "b")).alias("date"))
-    at = F.col("by_date")[F.col("date")]
-    whole = series.select(F.struct("date", at["rows"].alias("rows"), at["status"].alias("status"), F.coalesce(at["there"], F.lit(False)).alias("there"), at["carried"].alias("carried")).alias("d"))
-    whole = whole.agg(F.array_sort(F.collect_list("d"), lambda a, b: F.datediff(a["date"], b["date"])).alias("days"))
-    zero = F.from_json(F.lit('{"normal":[],"out":[]}'), shape)
+    following = F.lead("date").over(Window.orderBy("date"))  # a row per day of a series
+    known = days.select("date", F.col("row_count").cast("bigint").alias("rows"), "status", F.struct(F.lit(True).alias("there"), *carry).alias("carried"), following.alias("next"))
+    carried = known.schema["carried"].dataType.simpleString()
+    entry = f"struct<date:date,bronze_rows:bigint,baseline:double,change:double,partial:boolean,note:string,carried:{carried}>"
+    listed = known.agg(F.array_sort(F.collect_list(F.struct(*known.columns)), lambda a, b: F.datediff(a["date"], b["date"])).alias("days"))
+    zero = F.from_json(F.lit('{"normal":[],"out":[]}'), f"struct<normal:array<bigint>,out:array<struct<self:{entry},next:date>>>")
 
     def step(state: Column, day: Column) -> Column:
-        empty = (day["status"] == "empty") | (day["rows"] == 0)
-        usable = day["there"] & ~F.coalesce(empty, F.lit(False))
-        known = F.size(state["normal"]) > 0
-        base = F.when(usable & known, _median(state["normal"]))
+        usable = ~F.coalesce((day["status"] == "empty") | (day["rows"] == 0), F.lit(False))
+        some = F.size(state["normal"]) > 0
+        base = F.when(usable & some, _median(state["normal"]))
         change = day["rows"] / base - 1
-        partial = F.coalesce(usable & known & (day["rows"] < rules.partial_below * base), F.lit(False))
+        partial = F.coalesce(usable & some & (day["rows"] < rules.partial_below * base), F.lit(False))
         unusual = F.coalesce(F.abs(change) > rules.warn_beyond, F.lit(False))
-        note = F.when(~day["there"], "missing").when(~usable, "empty").when(partial, "partial").when(unusual, "unusual")
+        note = F.when(~usable, "empty").when(partial, "partial").when(unusual, "unusual")
         last = F.slice(F.concat(state["normal"], F.array(day["rows"])), F.greatest(F.size(state["normal"]) + 2 - rules.window, F.lit(1)), rules.window)
-        row = F.struct(
-            day["date"].alias("date"), F.when(day["there"], day["rows"]).alias("bronze_rows"), base.alias("baseline"), F.round(change, 4).alias("change"), partial.alias("partial"), note.alias("note"),
-            day["carried"].alias("carried"),
-        )
-        return F.struct(F.when(usable & ~partial, last).otherwise(state["normal"]).alias("normal"), F.concat(state["out"], F.array(row)).alias("out")).cast(shape)
-
-    folded = whole.select(F.explode(F.aggregate("days", zero, step, lambda s: s["out"])).alias("x"))
-    return folded.select("x.date", "x.bronze_rows", "x.baseline", "x.change", "x.partial", "x.note", *(F.col(f"x.carried.{c}").alias(c) for c in carry))
+        own = F.struct(
+            day["date"].alias("date"), day["rows"].alias("bronze_rows"), base.alias("baseline"), F.round(change, 4).alias("change"), partial.alias("partial"), note.alias("note"), day["carried"].alias("carried")
+        )
+        # Only what is new is cast: casting the state would go over all days again at every step.
+        added = F.array(F.struct(own.alias("self"), day["next"].alias("next"))).cast(f"array<struct<self:{entry},next:date>>")
+        return F.struct(F.when(usable & ~partial, last).otherwise(state["normal"]).alias("normal"), F.concat(state["out"], added).alias("out"))
+
+    folded = listed.select(F.explode(F.aggregate("days", zero, step, lambda s: s["out"])).alias("x")).select("x.self", "x.next")
+    # Days that aren't there change nothing in the baseline; they are put in after it.
+    absent = "'bronze_rows', cast(null as bigint), 'baseline', cast(null as double), 'change', cast(null as double), 'partial', false, 'note', 'missing'"
+    gap = F.expr(f"transform(sequence(date_add(self.date, 1), date_sub(next, 1)), d -> named_struct('date', d, {absent}, 'carried', cast(null as {carried})))")
+    gap = F.when(F.datediff("next", "self.date") > 1, gap).otherwise(F.expr(f"cast(array() as array<{entry}>)"))
+    each = folded.select(F.explode(F.concat(F.array("self"), gap)).alias("x"))
+    return each.select("x.date", "x.bronze_rows", "x.baseline", "x.change", "x.partial", "x.note", *(F.col(f"x.carried.{c}").alias(c) for c in carry))
 
 
 COUNTERS = ("cast_good", "cast_quarantined", "conflict_rows", "conflict_drives", "silver_rows")
