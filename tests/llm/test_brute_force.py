@@ -47,6 +47,8 @@ def luhn(digits):
 def base_by_pattern(text):
     found = []
     for k, (_, pattern) in enumerate(PII):
+        if k == 0 and "@" not in text:  # none can match, and the pattern takes quadratic time to say so
+            continue
         for m in re.finditer(pattern, text):
             digits = re.sub("[^0-9]", "", m[0])
             keep = [True, all(int(p) <= 255 for p in m[0].split(".")) if k == 1 else False, 12 <= len(digits) <= 19 and luhn(digits), 9 <= len(digits) <= 15][k]
