@@ -21,7 +21,7 @@ from ..sources.scratch import shared_folder, write_text
 from ..sources.snapshots import Lake, PublishError, publish
 from . import alarms, models
 from . import load as loading
-from .model_queries import FLEET_QUARTER, QUARTERS, YEAR_QUARTER
+from .model_queries import ERAS, FLEET_QUARTER, QUARTERS, YEAR_QUARTER
 from .panels import PART_PANEL, part_panel, read
 from .quality_queries import REASONS_SQL, TEXT, text_rows
 from .registry import query, with_sql
@@ -238,7 +238,7 @@ def maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Models built in the order of their needs, each written once and read by the next."""
     graph = ModelGraph()
-    graph.add("afr_fleet_quarter", models.afr_fleet_quarter, "device_quarter")
+    graph.add("afr_fleet_quarter", lambda quarters: models.afr_fleet_quarter(quarters, ERAS), "device_quarter")
     graph.add("device_quarter", models.device_quarter, "panel", partition_by=("year_quarter",))
     return graph.build(spark, shared_folder(spark, "gold"), {"panel": part_panel(spark, sf_dir)})["afr_fleet_quarter"]
 
