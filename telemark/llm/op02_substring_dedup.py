@@ -21,8 +21,8 @@ repetitive or hostile text can collide; the anchors, which do come from such has
 and the joins back are equi-joins that adaptive execution can split. No list outgrows its own text.
 
 Defined results. Null, empty or blank text: no words, nothing removed, hash of the empty string.
-Repeated rows: each counts, so their windows are repeated. Rows sharing a doc_id are told apart by
-text. Very long texts are read whole, a text at a time. Ties between anchors: the leftmost. Null doc_id: handled like any id. Empty table: no rows. Extra columns are ignored.
+Repeated rows: each counts, so their windows are repeated; their text is opened once and their hits are
+one set, however many rows there are. Rows sharing a doc_id are told apart by text. Very long texts are read whole, a text at a time. Ties between anchors: the leftmost. Null doc_id: handled like any id. Empty table: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -102,8 +102,19 @@ def _find_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, list of (p, n, anchor, path)) rows to a row for each window of those paths: (anchor, path, place, window)."""
+    """(k1, k2, text, list of (p, n, anchor, path)) rows to a row for each window of those paths: (anchor, path, place, window).
+
+    Equal texts of one id come one after another where the rows are sorted by key, and only the first of them is opened.
+    """
+    last = None
     for batch in batches:
+        keys = np.stack([batch.column(k).to_numpy() for k in range(2)], axis=1)
+        if len(keys) == 0:
+            continue
+        before = np.concatenate([keys[:1] if last is None else last, keys[:-1]])
+        new = (keys != before).any(axis=1)
+        new[0] |= last is None
+        last, batch = keys[-1:], batch.select(["text", "paths"]).filter(pa.array(new))
         size = batch.column(1).value_lengths().to_numpy()
         flat = batch.column(1).flatten()
         p, n, anchor, path = (flat.field(k).to_numpy().astype(np.int64) for k in range(4))
@@ -169,7 +180,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     branching = matched.filter("branches")
     forms = stage_table(branching.groupBy("anchor", "path").agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "p", "n")).alias("at")), "forms")
     sources = forms.groupBy(F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2")).agg(F.collect_list(F.struct("at.p", "at.n", "anchor", "path")).alias("paths"))
-    opened = stage_table(source.join(sources, ["k1", "k2"]).select("text", "paths").mapInArrow(_open_windows, "anchor long, path long, place int, window long"), "windows")
+    opened = stage_table(source.join(sources, ["k1", "k2"]).select("k1", "k2", "text", "paths").mapInArrow(_open_windows, "anchor long, path long, place int, window long"), "windows")
     twice = stage_table(opened.groupBy("anchor", "window").count().filter("count > 1").select("anchor", "window"), "repeated")
     bit = F.expr("shiftleft(1L, place)")
     masks = opened.join(twice, ["anchor", "window"]).groupBy("anchor", "path").agg(F.bit_or(bit).alias("mask"))
@@ -179,7 +190,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     hits = matched.filter("NOT branches").select("k1", "k2", "p", whole.alias("mask")).union(
         branching.join(judged, ["anchor", "path"]).select("k1", "k2", "p", F.coalesce("mask", whole))
     )
-    return hits.groupBy("k1", "k2").agg(F.collect_list(F.shiftleft(F.col("p").cast("long"), 28).bitwiseOR(F.col("mask"))).alias("hits"))
+    return hits.groupBy("k1", "k2").agg(F.collect_set(F.shiftleft(F.col("p").cast("long"), 28).bitwiseOR(F.col("mask"))).alias("hits"))
 
 
 def remove_repeats(docs: DataFrame, keep: list[str], with_text: bool = False) -> DataFrame:

@@ -1,5 +1,6 @@
 """Constructed inputs that shortcuts, weak hashes and unbounded samples get wrong."""
 
+import random
 import re
 from collections import defaultdict
 
@@ -153,6 +154,25 @@ def test_op2_regular_sequences(spark):
     assert {r.doc_id: r.n_removed for r in op02_substring_dedup.remove_repeats(docs, ["doc_id"]).collect()} == {1: 35, 2: 0, 3: 35}
 
 
+def test_op2_many_equal_rows(spark):
+    """Rows equal in id (here null) and text: hits are one set, each path is opened once, and branches beside them are told right."""
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(500)}" for _ in range(200)]
+    branch = [*words[:90], "other", *words[91:]]
+    rows = [(None, " ".join(words))] * 700 + [(1, " ".join(branch)), (2, "x " + " ".join(words[100:150])), (3, " ".join(f"u{i}" for i in range(60)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = op02_substring_dedup.remove_repeats(docs, ["doc_id"]).collect()
+    assert [r.n_removed for r in found if r.doc_id is None] == [200] * 700
+    assert {r.doc_id: r.n_removed for r in found if r.doc_id} == {1: 199, 2: 50, 3: 0}
+    hits = op02_substring_dedup.repeated_windows(docs).collect()
+    assert len(hits) == 3 and max(len(r.hits) for r in hits) <= 200
+
+    keys = [0] * 5 + [1] * 2
+    rows = pa.table({"k1": pa.array(keys, pa.int64()), "k2": pa.array(keys, pa.int64()), "text": [" ".join(words)] * 7, "paths": [[{"p": 0, "n": 3, "anchor": 9, "path": 9}]] * 7})
+    for most in (1, 2, 7):
+        assert sum(b.num_rows for b in op02_substring_dedup._open_windows(iter(rows.to_batches(most)))) == 6
+
+
 def test_word_hashes_by_hand():
     rng = np.random.default_rng(5)
     texts = [" ".join(rng.bytes(rng.integers(1, 9)).hex() for _ in range(200)), "", None, " a  b\tc", "é" * 300 + " x", "b" * 1_200_000 + " end"]
