@@ -12,6 +12,7 @@ Scratch tables go when the interpreter ends, or earlier: ``drop_table`` removes
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -141,19 +142,32 @@ def partitions_for(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(-(-size // PARTITION_BYTES), 1 << 20))
 
 
+#: The C library's call that gives back freed memory, where it has one.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system. Arrow's pool and the C library keep it, and Python workers live on beside an executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 _kept: dict[str, object] = {}
 
 
 def worker_cache(key: str, make):
     """What ``make`` returns, kept in this Python worker until another operator keeps something: workers live on between stages."""
     if key not in _kept:
-        _kept.clear()
+        drop_worker_cache()
         _kept[key] = make()
+        release_memory()
     return _kept[key]
 
 
 def drop_worker_cache() -> None:
     _kept.clear()
+    release_memory()
 
 
 def in_fold(key: Column, folds: int, held: int) -> Column:

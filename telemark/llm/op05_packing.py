@@ -22,10 +22,11 @@ ids: each row is a document of its own. Empty table: no rows. Extra columns are
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 from functools import partial
-from itertools import accumulate, chain, compress, pairwise
+from itertools import accumulate, batched, chain, compress, pairwise
 from operator import add
 
 import numpy as np
@@ -34,10 +35,12 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare, stage_table, text_blocks, worker_cache
+from .common import prepare, release_memory, stage_table, text_blocks, worker_cache
 
 CAPACITY, END = 4096, 1
 CACHED_WORDS = 800_000
+#: Words the library encodes in one call: what it makes of each takes a hundred times the room of its ids.
+AT_ONCE = 4096
 #: Marks that may follow a word; an apostrophe may start a contraction and isn't among them.
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -111,6 +114,7 @@ class WordEncoder:
     """Token ids of texts, little-endian 32-bit, by a bounded cache of words."""
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and each thread would keep memory of its own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
@@ -141,21 +145,26 @@ class WordEncoder:
         self.words.update((t.encode(), ids) for t, ids in self._each(others).items())
 
     def _each(self, texts: set[str]) -> dict[str, bytes]:
-        listed = list(texts)
-        found = self.tokenizer.encode_batch_fast(listed, add_special_tokens=False)
-        return {t: np.array(f.ids, dtype="<u4").tobytes() for t, f in zip(listed, found, strict=True)}
+        found: dict[str, bytes] = {}
+        for part in batched(texts, AT_ONCE):
+            for t, f in zip(part, self.tokenizer.encode_batch_fast(list(part), add_special_tokens=False), strict=True):
+                found[t] = np.array(f.ids, dtype="<u4").tobytes()
+        return found
 
     def _letters(self, texts: set[str]) -> dict[str, bytes]:
-        """Words of lower-case Latin letters, in one go: each ends with the only id that has the suffix."""
-        if not texts or self.plain is None:
+        """Words of lower-case Latin letters, many in one go: each ends with the only id that has the suffix."""
+        if self.plain is None:
             return self._each(texts)
-        listed = list(texts)
-        ids = np.array(self.plain.encode_batch_fast([" ".join(listed)], add_special_tokens=False)[0].ids, dtype="<u4")
-        cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
-        if len(cuts) != len(listed) + 1:
-            return self._each(texts)
-        raw = ids.tobytes()
-        return dict(zip(listed, [raw[a:b] for a, b in pairwise(cuts)], strict=True))
+        found: dict[str, bytes] = {}
+        for part in batched(texts, AT_ONCE):
+            ids = np.array(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            if len(cuts) != len(part) + 1:
+                found |= self._each(set(part))
+                continue
+            raw = ids.tobytes()
+            found.update(zip(part, [raw[a:b] for a, b in pairwise(cuts)], strict=True))
+        return found
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
@@ -183,6 +192,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: Broadcast, capacity:
     words, part, seen = encoder(vocabulary.value), TaskContext.get().partitionId(), [0] * (capacity + 1)
     last = np.uint32(end).astype("<u4").tobytes()
     for batch in batches:
+        release_memory()
         row, piece, start, length, crc, idx = [], [], [], [], [], []
         for block in text_blocks(batch.column(1)):
             for i, ids in enumerate(words.encode([block.text(i) for i in range(block.rows)])):
