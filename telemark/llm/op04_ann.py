@@ -3,12 +3,15 @@
 Coarse centroids (k-means) make the cells. Where cells would hold more than ``LIST`` vectors on average, each is
 divided by the nearest of a set of residual centroids that all cells share, so the number of lists grows with the
 table although centroids come from a sample. A vector's residual to its list's centre is coded by one of 256
-sub-centroids in each of sixteen groups of dimensions. A query visits its nearest lists, ranks their
-codes by asymmetric distance tables and reranks the best ``RERANK`` of each block by exact distances.
+sub-centroids in each of sixteen groups of dimensions; how far the vector lies from what its code says is kept beside it.
+A query visits its nearest lists, ranks their codes by asymmetric distance tables and reranks the best ``RERANK`` of
+each block by exact distances. What else the codes can't rule out, as it may lie nearer than the eleventh of those, is
+compared too, so within the lists visited nothing is lost, however coarse the codes are for a block.
 
 Learning uses a bounded sample: distinct vectors by hash, ``SAMPLE`` at most and ``SAMPLE_BYTES`` at most. From it come centroids,
-codebooks and the number of cells and lists to visit (the fewest that reach ``RECALL`` on the sample itself, whose
-neighbours lie further apart than those of all vectors). Every vector is indexed. Queries whose lists
+codebooks and the number of cells and lists to visit: the fewest that reach ``RECALL`` in the sample, whose
+neighbours lie further apart than those of all vectors, both for ``ASKED`` of its own vectors and for as many of the
+queries, which may lie elsewhere than most rows. Every vector is indexed. Queries whose lists
 hold too few vectors visit all lists in a second search.
 
 Equal vectors are collapsed first and keep their 11 smallest ids, which is all that ten neighbours of
@@ -36,7 +39,7 @@ from .common import prepare, stage_table
 
 NEAREST, STEP = 10, 100
 SAMPLE, SAMPLE_BYTES, PER_CENTROID, GROUPS, CODES = 32_768, 32 << 20, 16, 16, 256
-LIST, RERANK, BLOCK, RECALL = 1_024, 32, 8_192, 0.98
+LIST, RERANK, BLOCK, RECALL, ASKED = 1_024, 32, 8_192, 0.98, 200
 #: Query and vector pairs whose rough distances are held at once.
 _PAIRS = 1 << 20
 
@@ -68,9 +71,9 @@ def nearest(x: np.ndarray, centers: np.ndarray, k: int) -> np.ndarray:
 
 
 class Index:
-    """Centroids, shared residual centroids, codebooks and numbers to visit, learned from a sample of ``total`` vectors."""
+    """Centroids, shared residual centroids, codebooks and numbers to visit, learned from a sample of ``total`` vectors and of queries."""
 
-    def __init__(self, sample: np.ndarray, total: int, list_size: int = LIST):
+    def __init__(self, sample: np.ndarray, total: int, list_size: int = LIST, asked: np.ndarray | None = None):
         most = max(1, len(sample) // PER_CENTROID)
         self.cells = kmeans(sample, max(1, min(int(total**0.5), most)))
         cell = nearest(sample, self.cells, 1)[:, 0]
@@ -81,14 +84,15 @@ class Index:
         residuals = residuals - self.subs[sub]
         self.groups = [p for p in np.array_split(np.arange(sample.shape[1]), min(GROUPS, sample.shape[1])) if len(p)]
         self.books = [kmeans(residuals[:, p], min(CODES, len(sample)), 8) for p in self.groups]
-        self._calibrate(sample, cell, cell * len(self.subs) + sub)
+        own = sample[np.linspace(0, len(sample) - 1, min(ASKED, len(sample))).astype(int)]
+        reached = [self._calibrate(x, sample, cell, cell * len(self.subs) + sub) for x in (own, asked) if x is not None and len(x)]
+        self.visited_cells, self.visited_lists = (max(n) for n in zip(*reached, strict=True))
 
     def centre(self, number: np.ndarray | int) -> np.ndarray:
         return self.cells[number // len(self.subs)] + self.subs[number % len(self.subs)]
 
-    def _calibrate(self, sample: np.ndarray, cell: np.ndarray, number: np.ndarray) -> None:
-        """Fewest cells, and lists in them, that hold ``RECALL`` of the true neighbours of 200 sampled queries."""
-        asked = sample[np.linspace(0, len(sample) - 1, min(200, len(sample))).astype(int)]
+    def _calibrate(self, asked: np.ndarray, sample: np.ndarray, cell: np.ndarray, number: np.ndarray) -> tuple[int, int]:
+        """Fewest cells, and lists in them, that hold ``RECALL`` of the true neighbours of some queries."""
         true = nearest(asked, sample, min(NEAREST + 1, len(sample)))
         self.visited_cells, self.visited_lists = len(self.cells), len(self.cells) * len(self.subs)
         order = nearest(asked, self.cells, len(self.cells))
@@ -97,15 +101,14 @@ class Index:
         needed = np.sort(np.take_along_axis(rank, cell[true], 1).ravel())
         reached = lambda x, share: int(x[min(len(x) - 1, int(share * len(x)))]) + 1
         if len(self.subs) == 1:
-            self.visited_cells = self.visited_lists = reached(needed, RECALL)
-            return
+            return (reached(needed, RECALL),) * 2
         self.visited_cells = reached(needed, (1 + RECALL) / 2)
         needed = []
         for q, own in zip(asked, number[true], strict=True):
             listed = self.lists(q[None, :])[0]
             place = {v: i for i, v in enumerate(listed.tolist())}
             needed += [place.get(v, len(listed) - 1) for v in own.tolist()]
-        self.visited_lists = reached(np.sort(needed), RECALL)
+        return self.visited_cells, reached(np.sort(needed), RECALL)
 
     def lists(self, x: np.ndarray) -> np.ndarray:
         """Numbers of the lists that each row visits, nearest first."""
@@ -132,6 +135,13 @@ class Index:
         residuals -= self.subs[sub]
         return cell * len(self.subs) + sub, np.stack([nearest(residuals[:, p], b, 1)[:, 0] for p, b in zip(self.groups, self.books, strict=True)], axis=1).astype(np.uint8)
 
+    def error(self, x: np.ndarray, number: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """How far each row lies from what its list and code say of it."""
+        told = self.centre(number)
+        for j, (p, b) in enumerate(zip(self.groups, self.books, strict=True)):
+            told[:, p] += b[code[:, j]]
+        return np.sqrt(((x - told) ** 2).sum(1))
+
     def rough(self, queries: np.ndarray, number: int, codes: np.ndarray) -> np.ndarray:
         """Asymmetric squared distances [query, code] under one list: a table look-up for each group of dimensions."""
         away = queries - self.centre(number)
@@ -149,11 +159,12 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _encode(batches, index: Broadcast):
-    """(embedding, ids, least) rows with list and code."""
+    """(embedding, ids, least) rows with list, code and the code's error."""
     for batch in batches:
         if batch.num_rows:
-            number, code = index.value.encode(matrix(batch.column(0)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number), pa.array([c.tobytes() for c in code], pa.binary())], names=[*batch.schema.names, "list", "code"])
+            x = matrix(batch.column(0))
+            number, code = index.value.encode(x)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(index.value.error(x, number, code))], names=[*batch.schema.names, "list", "code", "error"])
 
 
 def _probe(batches, index: Broadcast, everywhere: bool):
@@ -173,28 +184,50 @@ def _probe(batches, index: Broadcast, everywhere: bool):
 _FOUND = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("score", pa.float64()), ("least", pa.int64()), ("ids", pa.list_(pa.int64()))])
 
 
+def _open(own: Index, number: int, q: np.ndarray, codes: np.ndarray, error: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, vector) pairs among which the 11 nearest of a block are, ordered by both.
+
+    The best by their codes are measured; a vector is out if even its code less the code's error lies beyond the
+    eleventh of those, or if its distance does by a matrix product, each with room for rounding.
+    """
+    rough = own.rough(q, number, codes)
+    best = np.argpartition(rough, RERANK - 1, axis=1)[:, :RERANK]
+    reach = np.sort(((vectors[best] - q[:, None, :]) ** 2).sum(2), axis=1)[:, NEAREST]
+    centre = own.centre(number)
+    x, away = vectors - centre, q - centre
+    norms = (away**2).sum(1)
+    least = np.sqrt(np.maximum(rough, 0)) * (1 - 1e-5) - error - 1e-6 * np.sqrt(norms)[:, None]
+    near = (least <= np.sqrt(reach)[:, None]) | ~np.isfinite(rough)
+    some = near.any(0).nonzero()[0]
+    room = (x[some] ** 2).sum(1) + norms[:, None]
+    squared = room - 2 * away @ x[some].T
+    row, at = (near[:, some] & (squared <= reach[:, None] + 1e-12 * q.shape[1] * (room + reach[:, None]))).nonzero()
+    pairs = np.concatenate([row * len(x) + some[at], (np.arange(len(q))[:, None] * len(x) + best).ravel()])
+    return np.divmod(np.unique(pairs), len(x))
+
+
 def _search(queries: pa.Table, block: pa.Table, index: Broadcast) -> pa.Table:
     """The 11 nearest vectors in this block for each query: codes rank, original vectors decide."""
     if queries.num_rows == 0 or block.num_rows == 0:
         return _FOUND.empty_table()
     own, number, size = index.value, block["list"][0].as_py(), block.num_rows
     codes = np.frombuffer(b"".join(block["code"].to_pylist()), np.uint8).reshape(size, -1)
-    vectors, asked, least = matrix(block["embedding"]), matrix(queries["embedding"]), block["least"].to_numpy()
+    vectors, asked, least, error = matrix(block["embedding"]), matrix(queries["embedding"]), block["least"].to_numpy(), block["error"].to_numpy()
     order = least.argsort(kind="stable")  # so that a stable sort by distance breaks ties by id
-    codes, vectors = codes[order], vectors[order]
+    codes, vectors, error = codes[order], vectors[order], error[order]
     rows, picks, scores = [], [], []
     step = max(1, _PAIRS // max(size, RERANK * vectors.shape[1]))
     for at in range(0, len(asked), step):
         q = asked[at : at + step]
-        if size > RERANK:
-            picked = np.sort(np.argpartition(own.rough(q, number, codes), RERANK - 1, axis=1)[:, :RERANK], axis=1)
-        else:
-            picked = np.tile(np.arange(size), (len(q), 1))
-        exact = np.sqrt(((vectors[picked] - q[:, None, :]) ** 2).sum(2))
-        best = exact.argsort(axis=1, kind="stable")[:, : NEAREST + 1]
-        rows.append(np.repeat(np.arange(at, at + len(q)), best.shape[1]))
-        picks.append(order[np.take_along_axis(picked, best, 1)].ravel())
-        scores.append(np.take_along_axis(exact, best, 1).ravel())
+        row, picked = _open(own, number, q, codes, error, vectors) if size > RERANK else np.divmod(np.arange(len(q) * size), size)
+        piece = max(1, _PAIRS // vectors.shape[1])
+        exact = np.concatenate([np.sqrt(((vectors[picked[i : i + piece]] - q[row[i : i + piece]]) ** 2).sum(1)) for i in range(0, len(row), piece)])
+        best = np.lexsort((picked, exact, row))
+        ordered = row[best]
+        best = best[np.arange(len(best)) - np.searchsorted(ordered, ordered) <= NEAREST]
+        rows.append(at + row[best])
+        picks.append(order[picked[best]])
+        scores.append(exact[best])
     rows, picks = pa.array(np.concatenate(rows)), pa.array(np.concatenate(picks))
     return pa.Table.from_arrays([queries["h1"].take(rows), queries["h2"].take(rows), pa.array(np.concatenate(scores)), block["least"].take(picks), block["ids"].take(picks)], schema=_FOUND)
 
@@ -241,13 +274,14 @@ def nearest_vectors(df: DataFrame, step: int = STEP, list_size: int = LIST) -> D
     sample = distinct.filter(place < min(1.0, 0.9 * most / total)).select("embedding").limit(most).toArrow()
     sample = matrix((sample if sample.num_rows else first)["embedding"])
     sample = sample[np.lexsort(sample.T)]  # file order must not matter
-    index = spark.sparkContext.broadcast(Index(sample, total, list_size))
-
-    shape = f"embedding {kind}, ids array<long>, least long, list long, code binary"
-    coded = stage_table(distinct.select("embedding", "ids", "least").mapInArrow(partial(_encode, index=index), shape), "codes")
     hashes = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding").alias("h2")]
     wanted = rows.filter(F.col("vec_id") % step == 0)
     asked = wanted.select(*hashes, "embedding").dropDuplicates(["h1", "h2"])
+    some = asked.orderBy("h1", "h2").limit(ASKED).select("embedding").toArrow()["embedding"]
+    index = spark.sparkContext.broadcast(Index(sample, total, list_size, matrix(some) if len(some) else None))
+
+    shape = f"embedding {kind}, ids array<long>, least long, list long, code binary, error double"
+    coded = stage_table(distinct.select("embedding", "ids", "least").mapInArrow(partial(_encode, index=index), shape), "codes")
     found = stage_table(search(asked, coded, index), "nearest")
     enough = found.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter(F.col("n") >= min(NEAREST + 1, total)).select("h1", "h2")
     short = stage_table(asked.join(enough, ["h1", "h2"], "left_anti"), "short")

@@ -284,6 +284,27 @@ def test_op4_through_codes(spark, n, size, clusters):
     assert hits >= 0.9 * 10 * (n // 100)
 
 
+@pytest.mark.parametrize("shape", ["scales", "queries"])
+def test_op4_uneven_vectors(spark, shape):
+    """Rows of very different lengths, which one codebook can't tell apart; queries that lie elsewhere than other rows."""
+    rng = np.random.default_rng(5)
+    n, d = 6000, 64
+    if shape == "scales":
+        x = rng.normal(size=(n, d)) * np.exp(2 * rng.normal(size=(n, 1)))
+    else:
+        x = rng.normal(size=(100, d))[rng.integers(0, 100, n)] + 0.05 * rng.normal(size=(n, d))
+        x[::100] = rng.normal(size=(n // 100, d))
+    got = defaultdict(set)
+    for r in op04_ann.nearest_vectors(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, n, 100):
+        away = ((x - x[q]) ** 2).sum(1)
+        away[q] = np.inf
+        hits += len(set(np.argsort(away, kind="stable")[:10].tolist()) & got[q])
+    assert hits >= 0.9 * 10 * (n // 100)
+
+
 def test_op4_short_lists(spark):
     """Queries far away from all others still get ten."""
     rng = np.random.default_rng(9)
