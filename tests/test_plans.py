@@ -71,3 +71,17 @@ def test_copies_are_told_apart_by_a_narrow_key(spark, sf_dir):
     text = plan(registry.QUERIES["dedupe_kept"](spark, sf_dir))
     for keys in re.findall(r"SortAggregate\nInput[^\n]*\nKeys \[\d+\]: \[([^\]]*)\]", text):
         assert len(keys.split(",")) <= 4
+
+
+def test_casting_is_compiled_and_reads_texts_once(spark, sf_dir):
+    """No filter repeats what was read before it, no array is filtered row by row in the interpreter, and methods are below the 8,000 bytes that the JVM compiles."""
+    execution = registry.QUERIES["cast_detail_counts"](spark, sf_dir)._jdf.queryExecution()
+    modes = spark._jvm.org.apache.spark.sql.execution.ExplainMode
+    tree = execution.optimizedPlan().toString()
+    assert tree.count("gettimestamp") <= 6 and "lambdafunction" not in tree
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = registry.QUERIES["cast_detail_counts"](spark, sf_dir)._jdf.queryExecution().explainString(modes.fromString("codegen"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)) < 8000
