@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 def latest_between(rows: DataFrame, key: str, day: str, value: str, far: int, near: int) -> DataFrame:
     """As-of look-back: each row with the latest reading ``far`` to ``near`` days before, from one sort by key and day."""
-    past = Window.partitionBy(key).orderBy(F.unix_date(day)).rangeBetween(-far, -near)
-    return rows.select(key, day, F.last(value).over(past).alias("past_value")).dropDuplicates([key, day])
+    by_day = Window.partitionBy(key).orderBy(F.unix_date(day))
+    # Of rows of one day, whose look-backs are the same, the first is kept: by the sort that is there, not by a table of all rows.
+    first = (F.row_number().over(by_day) == 1) | ~F.lag(day).over(by_day).eqNullSafe(F.col(day))
+    seen = rows.select(key, day, F.last(value).over(by_day.rangeBetween(-far, -near)).alias("past_value"), first.alias("_first"))
+    return seen.filter("_first").drop("_first")
 
 
 def latest_by_bucket(rows: DataFrame, key: str, day: str, value: str, far: int, near: int) -> DataFrame:
