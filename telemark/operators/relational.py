@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest_between(rows: DataFrame, key: str, day: str, value: str, far: int, near: int) -> DataFrame:
@@ -39,9 +42,16 @@ def seen_after(events: DataFrame, rows: DataFrame, key: str, since: str) -> Data
 
 
 def unstable(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """How many keys have more than one value of each column."""
-    each = rows.groupBy(key).agg(*(F.count_distinct(c).alias(c) for c in columns))
-    return each.agg(*(F.count_if(F.col(c) > 1).alias(f"changing_{c}") for c in columns))
+    """How many keys have more than one value of each column: those whose least and greatest differ.
+
+    A row per key of fixed width is all that is kept, not each value of each column. Texts and nested values
+    are compared by 128 bits over them, as rows of other widths could only be aggregated by sorting.
+    """
+    plain = T.NumericType | T.BooleanType | T.DateType | T.TimestampType | T.TimestampNTZType
+    shown = {c: [F.col(c)] if isinstance(rows.schema[c].dataType, plain) else [F.when(F.col(c).isNotNull(), h) for h in (F.xxhash64(c), F.xxhash64(F.lit(1), c))] for c in columns}
+    each = rows.groupBy(key).agg(*(F.struct(F.min(v), F.max(v)).alias(f"{c}_{i}") for c, values in shown.items() for i, v in enumerate(values)))
+    differ = {c: reduce(lambda a, b: a | b, (F.col(f"{c}_{i}.col1") != F.col(f"{c}_{i}.col2") for i in range(len(values)))) for c, values in shown.items()}
+    return each.agg(*(F.count_if(d).alias(f"changing_{c}") for c, d in differ.items()))
 
 
 def null_profile(rows: DataFrame) -> DataFrame:
